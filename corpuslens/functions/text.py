@@ -103,7 +103,7 @@ def contains_any(text: Column, phrases: Sequence[str]) -> Column:
 def cue_sentences(text: Column, cues: Sequence[str] = fixed.LIMITATION_CUES, n: int = 3) -> Column:
     """First `n` sentences that are long enough and hold a cue, cut to snippet length."""
     parts = F.split(F.coalesce(text, F.lit("")), r"(?<=[.!?])\s+")
-    trimmed = F.transform(parts, F.trim)
+    trimmed = F.transform(parts, lambda s: F.trim(s))
     kept = F.filter(
         trimmed,
         lambda s: (F.length(s) >= fixed.LIMITATION_MIN_CHARS) & contains_any(F.lower(s), cues),

@@ -71,16 +71,16 @@ def tag_with_dictionary(texts: DataFrame, gazetteer: DataFrame, max_words: int =
     the longest, then the first, at each of its words stays. Positions count words.
     """
     tokens = texts.select("paper_id", tx.words(F.col("text")).alias("w"))
-    grams = F.flatten(F.array(*[
-        F.transform(
-            F.when(F.size("w") >= n, F.sequence(F.lit(0), F.size("w") - n)).otherwise(F.array().cast("array<int>")),
-            lambda i, n=n: F.struct(
-                i.alias("pos"), F.lit(n).alias("n"),
-                F.array_join(F.slice("w", i + 1, n), " ").alias("term"),
-            ),
+
+    def runs_of(n: int) -> Column:
+        starts = F.when(F.size("w") >= n, F.sequence(F.lit(0), F.size("w") - n)).otherwise(
+            F.array().cast("array<int>")
         )
-        for n in range(1, max_words + 1)
-    ]))
+        return F.transform(starts, lambda i: F.struct(
+            i.alias("pos"), F.lit(n).alias("n"), F.array_join(F.slice("w", i + 1, n), " ").alias("term")
+        ))
+
+    grams = F.flatten(F.array(*[runs_of(n) for n in range(1, max_words + 1)]))
     terms = gazetteer.select(F.lower("term").alias("term"), "entity_type").groupBy("term").agg(
         F.min("entity_type").alias("entity_type")
     )
@@ -236,7 +236,7 @@ def entity_arrays(mentions: DataFrame) -> DataFrame:
 
 
 def _exploded(papers: DataFrame, kind: str, *keep: str) -> DataFrame:
-    items = F.array_distinct(F.transform(ENTITY_COLUMNS[kind], F.trim))
+    items = F.array_distinct(F.transform(ENTITY_COLUMNS[kind], lambda e: F.trim(e)))
     return papers.select(*keep, F.explode(items).alias("entity"))
 
 

@@ -170,7 +170,7 @@ def reshape_bulk(raw: DataFrame) -> DataFrame:
         _names(note("authorfirstname"), text).alias("_first"),
         _names(note("authorlastname"), text).alias("_last"),
         F.filter(
-            F.transform(_slices(note("author"), text), F.trim), lambda n: n != ""
+            F.transform(_slices(note("author"), text), lambda n: F.trim(n)), lambda n: n != ""
         ).alias("_whole"),
     )
     names = pair_author_names(F.col("_first"), F.col("_last"), F.col("_whole"))

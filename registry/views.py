@@ -267,4 +267,4 @@ def cte(*names: str) -> str:
 
     for name in names:
         add(name)
-    return "with " + ", ".join(SQL[n] for n in order)
+    return "with recursive " + ", ".join(SQL[n] for n in order)
