@@ -106,46 +106,91 @@ def tag_with_dictionary(texts: DataFrame, gazetteer: DataFrame, max_words: int =
     )
 
 
+def _kind(label: Column) -> Column:
+    return F.substring(label, 3, 1000)
+
+
+def _cuts(tokens: Column) -> Column:
+    """Places of the starts and Os in a chunk, whose tokens come in order. A span starts at B-, at I-
+    after O or another type, and at the first token."""
+
+    def place(token: Column, i: Column) -> Column:
+        before = F.coalesce(F.get(tokens, i - 1)["label"], F.lit("O"))
+        starts = F.startswith(token["label"], F.lit("B-")) | (before == "O") | (
+            _kind(before) != _kind(token["label"])
+        )
+        return F.when((token["label"] == "O") | starts, i)
+
+    return F.array_compact(F.transform(tokens, place))
+
+
+def _pieces(tokens: Column, cuts: Column, which: Column) -> Column:
+    """The pieces of a chunk that begin at the given cuts."""
+
+    def span(k: Column) -> Column:
+        i = F.get(cuts, k)
+        stop = F.coalesce(F.get(cuts, k + 1), F.size(tokens))
+        part = F.slice(tokens, i + 1, stop - i)
+        first = F.get(tokens, i)
+        return F.struct(
+            first["pos"].alias("span"), first["label"].alias("label"),
+            F.array_join(F.transform(part, lambda t: t["token"]), " ").alias("text"),
+            F.aggregate(part, F.lit(0.0), lambda total, t: total + t["score"]).alias("total"),
+            (stop - i).cast("bigint").alias("tokens"),
+            ((i == 0) & F.startswith(first["label"], F.lit("I-"))).alias("from_left"),
+            (stop == F.size(tokens)).alias("to_right"),
+            first["start"].alias("start"), F.get(tokens, stop - 1)["end"].alias("end"),
+        )
+
+    return F.transform(which, span)
+
+
 def decode_spans(tokens: DataFrame, chunk: int = 4096) -> DataFrame:
-    """Entity spans from B-/I-/O labels.
+    """Entity spans from B-/I-/O labels of the tokens of each paper, numbered from 0 without gaps.
 
-    B- starts a span; I- continues one of the same type, else starts; O ends. A token needs the label
-    before it and its span needs the last start before it. Both come from windows over chunks of a
-    paper, and from one row per chunk for what reaches over a chunk's edge, so a paper with very many
-    tokens is handled by many tasks.
+    B- starts a span; I- continues one of the same type, else starts; O ends. A paper's tokens are
+    gathered in chunks of fixed size, so however many it has, no task holds more than a chunk of it
+    at once. Only the spans that touch the edge of a chunk, at most two per chunk, are then joined
+    over the edges; all others are complete.
     """
-    per_chunk = Window.partitionBy("paper_id", "chunk").orderBy("pos")
-    per_paper = Window.partitionBy("paper_id").orderBy("chunk")
-    parts = tokens.withColumn("chunk", F.floor(F.col("pos") / chunk))
-
-    tails = parts.groupBy("paper_id", "chunk").agg(F.max_by("label", "pos").alias("tail"))
-    tails = tails.select("paper_id", "chunk", F.lag("tail").over(per_paper).alias("tail_before"))
-    kind = F.substring("label", 3, 1000)
-    before = F.coalesce(F.lag("label").over(per_chunk), F.col("tail_before"), F.lit("O"))
-    starts = F.startswith("label", F.lit("B-")) | (before == "O") | (F.substring(before, 3, 1000) != kind)
-    marked = parts.join(tails, ["paper_id", "chunk"]).select(
-        *parts.columns, F.when((F.col("label") != "O") & starts, F.col("pos")).alias("started")
+    has_range = "start" in tokens.columns and "end" in tokens.columns
+    start, end = (F.col("start"), F.col("end")) if has_range else (F.col("pos"), F.col("pos"))
+    token = F.struct("pos", "token", "label", F.col("score").cast("double").alias("score"), start.alias("start"), end.alias("end"))
+    chunks = tokens.groupBy("paper_id", F.floor(F.col("pos") / chunk).alias("chunk")).agg(
+        F.array_sort(F.collect_list(token)).alias("t")
     )
-    opened = marked.select("*", F.max("started").over(per_chunk).alias("opened"))
+    cut = chunks.withColumn("cuts", _cuts(F.col("t")))
 
-    last = marked.groupBy("paper_id", "chunk").agg(F.max("started").alias("last_start"))
-    earlier = F.max("last_start").over(per_paper.rowsBetween(Window.unboundedPreceding, -1))
-    last = last.select("paper_id", "chunk", earlier.alias("opened_before"))
-    spanned = opened.filter(F.col("label") != "O").join(last, ["paper_id", "chunk"]).withColumn(
-        "span", F.coalesce("opened", "opened_before")
-    )
+    def pieces(which: Column) -> DataFrame:
+        found = _pieces(F.col("t"), F.col("cuts"), which)
+        return cut.select("paper_id", "chunk", F.inline(found)).filter(F.col("label") != "O").withColumn(
+            "label", _kind(F.col("label"))
+        )
 
-    optional = [c for c in ("start", "end") if c in tokens.columns]
-    pieces = F.transform(
-        F.array_sort(F.collect_list(F.struct("pos", "token"))), lambda t: t["token"]
+    edge = F.col("from_left") | F.col("to_right")
+    last = F.size("cuts") - 1
+    at_edges = pieces(F.array_distinct(F.array(F.lit(0), last))).filter(edge)
+    inside = pieces(F.sequence(F.lit(0), last)).filter(~edge)
+    columns = ["paper_id", "span", "label", "text", "total", "tokens", "start", "end"]
+
+    in_order = Window.partitionBy("paper_id").orderBy("span")
+    continues = (
+        F.col("from_left") & F.lag("to_right").over(in_order)
+        & (F.lag("chunk").over(in_order) == F.col("chunk") - 1)
+        & (F.lag("label").over(in_order) == F.col("label"))
+    )
+    headed = at_edges.withColumn("head", F.when(~F.coalesce(continues, F.lit(False)), F.col("span")))
+    headed = headed.withColumn("head", F.max("head").over(in_order))
+    parts_in_order = F.transform(F.array_sort(F.collect_list(F.struct("span", "text"))), lambda p: p["text"])
+    joined = headed.groupBy("paper_id", F.col("head").alias("span")).agg(
+        F.max("label").alias("label"), F.array_join(parts_in_order, " ").alias("text"),
+        F.sum("total").alias("total"), F.sum("tokens").alias("tokens"),
+        F.min("start").alias("start"), F.max("end").alias("end"),
     )
-    merged = F.regexp_replace(F.regexp_replace(F.array_join(pieces, " "), " ##", ""), "^##", "")
-    return spanned.groupBy("paper_id", "span").agg(
-        F.min_by(kind, F.col("pos")).alias("label"),
-        F.trim(merged).alias("text"),
-        F.avg("score").alias("score"),
-        F.count(F.lit(1)).alias("tokens"),
-        *([F.min("start").alias("start"), F.max("end").alias("end")] if optional else []),
+    text = F.regexp_replace(F.regexp_replace("text", " ##", ""), "^##", "")
+    return inside.select(*columns).unionAll(joined.select(*columns)).select(
+        "paper_id", "span", "label", F.trim(text).alias("text"), (F.col("total") / F.col("tokens")).alias("score"),
+        "tokens", *(["start", "end"] if has_range else []),
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuslens.functions import fixed_values as fixed
 from corpuslens.functions import identifiers as ids
-from corpuslens.session import cut_lineage
+from corpuslens.session import bucketed, cut_lineage
 
 
 def guarded_range(low: Column, high: Column) -> Column:
@@ -71,30 +71,33 @@ def resolve_edges(edges: DataFrame, papers: DataFrame) -> DataFrame:
 
 def pagerank(
     nodes: DataFrame, links: DataFrame, iterations: int = 10, reset: float = fixed.SCORE_FLOOR,
-    links_per_bucket: int = 1_000_000, cut_every: int = 4,
+    links_per_bucket: int = 1_000_000,
 ) -> DataFrame:
     """PageRank of `nodes(id)` over `links(src, dst)`, with mean rank 1.
 
     Each round joins ranks to links and sums by target, which combines before the shuffle. The links
     of a source with more than `links_per_bucket` of them are spread over several buckets, and only
     its rank is repeated once per bucket; such sources are few by definition. Links are written once
-    in that layout, so a round shuffles ranks only. The rank of nodes without links goes to all
-    nodes alike. Every few rounds the ranks are checkpointed in the shared folder.
+    as a bucketed table in that layout, so a round shuffles ranks only. The rank of nodes without links goes to all
+    nodes alike. Every round reads the ranks twice, so they are checkpointed in the shared folder
+    after each; a lost executor costs one round.
     """
+    links = cut_lineage(links)
     degree = links.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
     n_buckets = F.ceil(F.col("degree") / links_per_bucket).cast("int")
     busy = degree.filter(F.col("degree") > links_per_bucket).select("src", n_buckets.alias("buckets"))
-    spread = cut_lineage(
+    spread = bucketed(
         links.join(busy, "src", "left").select(
             "src", "dst",
             F.coalesce(F.pmod(F.xxhash64("dst"), F.col("buckets")), F.lit(0)).cast("int").alias("bucket"),
-        ).repartition("src", "bucket")
+        ),
+        "src", "bucket",
     )
     base = cut_lineage(
         nodes.select("id").distinct().join(degree, F.col("id") == F.col("src"), "left")
         .select("id", F.coalesce("degree", F.lit(0)).alias("degree"))
     )
-    total = base.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
+    total = F.lit(float(base.count()))
     ranks = base.withColumn("rank", F.lit(1.0))
     for step in range(1, iterations + 1):
         giving = ranks.filter("degree > 0").select(
@@ -114,6 +117,6 @@ def pagerank(
                 * (F.coalesce("received", F.lit(0.0)) + F.coalesce(idle, F.lit(0.0)) / total)
             ).alias("rank"),
         )
-        if step % cut_every == 0 and step < iterations:
+        if step < iterations:
             ranks = cut_lineage(ranks)
     return ranks.select(F.col("id").alias("paper_id"), F.col("rank").alias("pagerank"))

@@ -47,9 +47,15 @@ def field_stats(analysed: DataFrame) -> DataFrame:
 
 
 def vocabulary(analysed: DataFrame, stem: bool) -> DataFrame:
-    """Distinct surface forms of text fields with their index term; each is stemmed once."""
+    """Distinct surface forms of text fields with their index term; each is stemmed once.
+
+    Stemming costs far more than moving a word, so the words go to all cores first.
+    """
     surfaces = analysed.filter(F.col("kind") == TEXT).select(F.explode("terms").alias("surface")).distinct()
-    return surfaces.withColumn("term", porter_stem("surface") if stem else F.col("surface"))
+    if not stem:
+        return surfaces.withColumn("term", F.col("surface"))
+    cores = surfaces.sparkSession.sparkContext.defaultParallelism
+    return surfaces.repartition(cores).withColumn("term", porter_stem("surface"))
 
 
 def query_terms(queries: DataFrame, stem: bool) -> DataFrame:
@@ -118,6 +124,12 @@ def term_counts(analysed: DataFrame, wanted: DataFrame) -> DataFrame:
     )
 
 
+def document_frequencies(counts: DataFrame) -> DataFrame:
+    """Documents per field and term. Reading `tf` keeps the plan below equal to that of the scores, so
+    both share one shuffle and the texts are read once."""
+    return counts.groupBy("field", "term").agg(F.count_if(F.col("tf") > 0).alias("df"))
+
+
 def bm25(
     counts: DataFrame, stats: DataFrame, asked: DataFrame, boosts: Mapping[str, float],
     frequencies: DataFrame | None = None,
@@ -126,7 +138,7 @@ def bm25(
 
     `asked(query_id, kind, term, weight)` lists index terms. Keyword fields have no length norm.
     """
-    df = counts.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df")) if frequencies is None else frequencies
+    df = document_frequencies(counts) if frequencies is None else frequencies
     boost = F.create_map(*[F.lit(x) for pair in boosts.items() for x in pair])
     # One row per field, so its size is fixed by the call.
     per_field = F.broadcast(stats.select(
@@ -187,7 +199,7 @@ def search(
     counts = term_counts(analysed, wanted)
     frequencies = None
     if keep is not None:
-        frequencies = counts.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
+        frequencies = document_frequencies(counts)
         kept = docs.filter(keep).select(F.col(key).alias("doc"))
         counts = counts.join(kept, "doc", "left_semi")
     scores = bm25(counts, field_stats(analysed), asked, boosts, frequencies)

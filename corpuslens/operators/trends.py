@@ -40,30 +40,21 @@ def dated_papers(papers: DataFrame, scores: DataFrame, edges: DataFrame | None =
 def trends(dated: DataFrame) -> DataFrame:
     """Category and topic grain in one pass.
 
-    Sums are first taken at the finer grain, so both grains derive from the small result of a single
-    shuffle of the papers.
+    Sums are first taken at the finer grain; the two grains are grouping sets of that small result.
     """
-    cells = dated.groupBy("primary_category", "topic_cluster", "topic_cluster_id", "year_month").agg(
+    fine = ["primary_category", "topic_cluster", "topic_cluster_id", "year_month"]
+    cells = dated.groupBy(*fine).agg(
         F.count(F.lit(1)).alias("papers"),
         F.sum("citation_count").alias("cites"), F.count("citation_count").alias("n_cites"),
         F.sum("pagerank_score").alias("score"), F.count("pagerank_score").alias("n_score"),
     )
-    total = [
+    both = cells.groupingSets([["primary_category", "year_month"], fine], *fine).agg(
+        F.when(F.grouping("topic_cluster") == 1, CATEGORY).otherwise(TOPIC).alias("grain"),
         F.sum("papers").alias("paper_count"),
         F.try_divide(F.sum("cites"), F.sum("n_cites")).alias("avg_citation_count"),
         F.try_divide(F.sum("score"), F.sum("n_score")).alias("avg_pagerank"),
-    ]
-    by_category = cells.groupBy("primary_category", "year_month").agg(*total).withColumns({
-        "grain": F.lit(CATEGORY),
-        "topic_cluster": F.lit(None).cast("string"),
-        "topic_cluster_id": F.lit(None).cast("int"),
-    })
-    by_topic = (
-        cells.filter(F.col("topic_cluster").isNotNull())
-        .groupBy("primary_category", "topic_cluster", "topic_cluster_id", "year_month").agg(*total)
-        .withColumn("grain", F.lit(TOPIC))
     )
-    return by_category.select(*TREND_COLUMNS).unionByName(by_topic.select(*TREND_COLUMNS))
+    return both.filter((F.col("grain") == CATEGORY) | F.col("topic_cluster").isNotNull()).select(*TREND_COLUMNS)
 
 
 def filter_trends(

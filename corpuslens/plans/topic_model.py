@@ -23,9 +23,12 @@ def fit(
     min_cluster_size: int = 10, n_words: int = 10, n_topics: int | None = None, dims: int = 256,
     encode=tp.encode_texts,
 ) -> TopicRun:
-    """Clean, encode, project, cluster and label. `encode` maps (paper_id, text) to vectors."""
-    docs = papers.select("paper_id", tx.rejoin_sentences(tx.clean(F.col(text))).alias("text"))
-    points = cut_lineage(tp.project_2d(encode(docs, dims=dims)))
+    """Clean, encode, project, cluster and label. `encode` maps (paper_id, text) to vectors.
+
+    Clean texts and vectors are read by several passes, so each is written to the shared folder once.
+    """
+    docs = cut_lineage(papers.select("paper_id", tx.rejoin_sentences(tx.clean(F.col(text))).alias("text")))
+    points = cut_lineage(tp.project_2d(cut_lineage(encode(docs, dims=dims))))
     topics = cut_lineage(tp.assign_topics(points, eps, min_samples, min_cluster_size))
     counts = tp.topic_word_counts(docs, topics)
     if n_topics is not None:

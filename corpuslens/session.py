@@ -41,6 +41,33 @@ def working_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the data survives the loss of any executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write `df` to the shared folder and read it from there.
+
+    The data survives the loss of any executor, later steps read only the columns they need, and
+    Spark knows its true size when it chooses joins.
+    """
+    path = working_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, *keys: str) -> DataFrame:
+    """Write `df` to the shared folder in buckets, so that joins on `keys` need not shuffle it.
+
+    The table is external and its name lasts for the session.
+    """
+    spark = df.sparkSession
+    path = working_path(spark, "buckets")
+    name = "buckets_" + uuid.uuid4().hex
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Even out an input that comes in fewer splits than there are cores; others pass unchanged.
+
+    Only small inputs are moved: anything above one split per core is large enough already.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

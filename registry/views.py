@@ -16,13 +16,17 @@ from corpuslens.operators import trends as tr
 
 AS_OF = "2024-06-30"
 
+# Tables whose rows cost far more to process than to move.
+TEXT_TABLES = ("documents", "pages", "conversations")
+
 
 class Views:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return session.spread(df) if name in TEXT_TABLES else df
 
     def scratch(self, name: str) -> str:
         return session.working_path(self.spark, name)
