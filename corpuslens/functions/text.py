@@ -138,3 +138,8 @@ def is_entity(text: Column) -> Column:
     return (
         (F.length(text) > 2) & ~low.isin(list(fixed.ENTITY_STOP)) & ~F.startswith(low, F.lit("pad"))
     )
+
+
+def json_strings(text: Column) -> Column:
+    """Strings of a JSON list kept as text; NULL where the text is none."""
+    return F.from_json(text, "array<string>", {"mode": "PERMISSIVE"})

@@ -1 +1,7 @@
 """Checked queries: operator calls over the given tables, with their SQL."""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
