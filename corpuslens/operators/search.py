@@ -21,7 +21,9 @@ def one_query(spark: SparkSession, text: str, query_id: str = "q") -> DataFrame:
     return spark.createDataFrame([(query_id, text)], "query_id string, text string")
 
 
-def analyse(docs: DataFrame, key: str, fields: Sequence[str], keywords: Sequence[str] = ()) -> DataFrame:
+def analyse(
+    docs: DataFrame, key: str, fields: Sequence[str], keywords: Sequence[str] = (), keep: Sequence[str] = ()
+) -> DataFrame:
     """One row per document and non-empty field with its array of terms.
 
     Text is split, lowered and freed of stop words; keyword arrays are taken as they are.
@@ -36,7 +38,7 @@ def analyse(docs: DataFrame, key: str, fields: Sequence[str], keywords: Sequence
         )
         for f in keywords
     ]
-    return docs.select(F.col(key).alias("doc"), F.inline(F.array(*parts))).filter(F.size("terms") > 0)
+    return docs.select(F.col(key).alias("doc"), *keep, F.inline(F.array(*parts))).filter(F.size("terms") > 0)
 
 
 def field_stats(analysed: DataFrame) -> DataFrame:
@@ -259,9 +261,7 @@ def related_by_topic(papers: DataFrame, k: int = 4, fetched: int = 6, stem: bool
 def build_index(papers: DataFrame, path: str, months: Sequence[str] | None = None) -> None:
     """Write postings and field totals of the papers, or of some months, replacing just those months."""
     rows = papers if months is None else papers.filter(F.col("ingest_year_month").isin(list(months)))
-    analysed = analyse(rows, "paper_id", list(PAPER_FIELDS)).join(
-        rows.select(F.col("paper_id").alias("doc"), "ingest_year_month"), "doc"
-    )
+    analysed = analyse(rows, "paper_id", list(PAPER_FIELDS), keep=["ingest_year_month"])
     words = vocabulary(analysed, stem=True)
     surfaces = analysed.select(
         "ingest_year_month", "doc", "field", F.size("terms").alias("len"), F.explode("terms").alias("surface")

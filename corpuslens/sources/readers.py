@@ -22,15 +22,21 @@ _TYPES = {
 }
 
 
+def _parsed(lines: DataFrame, schema: str) -> DataFrame:
+    """Lines with their record; a malformed line keeps its text in one column of the record.
+
+    Parsing is an expression here, not part of the file source, because the source refuses plans
+    that only need to know which lines are malformed, such as a count.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
+    record = F.from_json("value", schemas.with_corrupt(schema), options)
+    return lines.filter(F.trim("value") != "").withColumn("record", record)
+
+
 def read_jsonl(spark: SparkSession, paths: str | Sequence[str], schema: str) -> DataFrame:
-    """JSON lines, plain or gzip (by suffix). A malformed line keeps its text in one column."""
-    return (
-        spark.read.schema(schemas.with_corrupt(schema))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", schemas.CORRUPT)
-        .option("recursiveFileLookup", "true")
-        .json(paths)
-    )
+    """JSON lines, plain or gzip (by suffix), from folders of any depth."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(paths)
+    return _parsed(lines, schema).select("record.*")
 
 
 def well_formed(df: DataFrame) -> DataFrame:
@@ -39,11 +45,9 @@ def well_formed(df: DataFrame) -> DataFrame:
 
 def malformed_report(spark: SparkSession, paths: str | Sequence[str], schema: str) -> DataFrame:
     """Good and bad lines of each file."""
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
     lines = spark.read.option("recursiveFileLookup", "true").text(paths)
-    record = F.from_json("value", schemas.with_corrupt(schema), options)
-    rows = lines.select(
-        F.col("_metadata.file_name").alias("file_name"), record[schemas.CORRUPT].isNotNull().alias("bad")
+    rows = _parsed(lines.select("value", F.col("_metadata.file_name").alias("file_name")), schema).select(
+        "file_name", F.col(f"record.{schemas.CORRUPT}").isNotNull().alias("bad")
     )
     return rows.groupBy("file_name").agg(
         F.count_if(~F.col("bad")).alias("good_lines"), F.count_if("bad").alias("bad_lines")
@@ -187,16 +191,14 @@ def read_landing(
     spark: SparkSession, base: str, schema: str, date_from: str | None = None,
     date_to: str | None = None, skip: Sequence[str] = fixed.NON_PAPER_CATEGORIES,
 ) -> DataFrame:
-    """Records below `source=/category=/date=` folders; Spark prunes the folders by these filters."""
-    rows = (
-        spark.read.schema(schemas.with_corrupt(schema))
-        .option("columnNameOfCorruptRecord", schemas.CORRUPT)
-        .option("basePath", base)
-        .json(base)
-    )
+    """Records below `source=/category=/date=` folders; Spark prunes the folders by these filters.
+
+    The three partition columns come from the folders and are not part of `schema`.
+    """
+    rows = spark.read.option("basePath", base).text(base)
     rows = rows.filter(~F.col("category").isin(list(skip)))
     if date_from is not None:
         rows = rows.filter(F.col("date") >= F.lit(date_from).cast("date"))
     if date_to is not None:
         rows = rows.filter(F.col("date") <= F.lit(date_to).cast("date"))
-    return well_formed(rows)
+    return well_formed(_parsed(rows, schema).select("record.*", "source", "category", "date"))

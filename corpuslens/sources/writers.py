@@ -32,8 +32,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_raw(df: DataFrame, base: str) -> None:
-    """Append JSON lines below source/category/date; the file name carries the batch."""
-    df.write.partitionBy("source", "category", "date").mode("append").json(base)
+    """Append JSON lines below source/category/date. The rows of a folder are gathered first, so that a
+    batch adds few files to it; a folder that gets most rows is split over several tasks."""
+    folders = ["source", "category", "date"]
+    df.hint("rebalance", *folders).write.partitionBy(*folders).mode("append").json(base)
 
 
 def create_tables(spark: SparkSession, database: str, location: str, names: Sequence[str] | None = None) -> None:

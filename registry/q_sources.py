@@ -162,7 +162,7 @@ def landing_date_range(v):
     base = v.scratch("landing")
     writers.write_raw(rows, base)
     found = readers.read_landing(
-        v.spark, base, "event_id bigint, source string, category string, date date", "2024-01-05", "2024-01-20",
+        v.spark, base, "event_id bigint", "2024-01-05", "2024-01-20",
         skip=("error",),
     )
     return found.select("event_id", "category", "date")
