@@ -24,10 +24,7 @@ def _described(df: DataFrame, papers: DataFrame, scores: DataFrame) -> DataFrame
     )
 
 
-def cited_by(
-    requested: DataFrame, edges: DataFrame, papers: DataFrame, scores: DataFrame, limit: int | None = 50
-) -> DataFrame:
-    """Papers that cite a requested one, under its key or its alternate id."""
+def _citing(requested: DataFrame, edges: DataFrame, papers: DataFrame, limit: int | None) -> DataFrame:
     own = requested.select(F.col("paper_id").alias("request_id"))
     known = own.join(
         papers.select(F.col("paper_id").alias("request_id"), "s2_paper_id"), "request_id"
@@ -36,16 +33,10 @@ def cited_by(
         known.select("request_id", F.col("s2_paper_id").alias("cited_id"))
     ).distinct()
     hits = edges.join(forms, "cited_id").select("request_id", F.col("citing_id").alias("paper_id"))
-    return _described(_first_per_request(hits, limit, "paper_id"), papers, scores)
+    return _first_per_request(hits, limit, "paper_id")
 
 
-def references(
-    requested: DataFrame, edges: DataFrame, papers: DataFrame, scores: DataFrame, limit: int | None = 50
-) -> DataFrame:
-    """Corpus papers that a requested one cites, found by key or by alternate id.
-
-    Two equi-joins and a distinct union; a join with OR would compare every pair.
-    """
+def _cited(requested: DataFrame, edges: DataFrame, papers: DataFrame, limit: int | None) -> DataFrame:
     out = edges.join(
         requested.select(F.col("paper_id").alias("citing_id")).distinct(), "citing_id", "left_semi"
     ).select(F.col("citing_id").alias("request_id"), "cited_id")
@@ -58,28 +49,42 @@ def references(
         ),
         "cited_id",
     ).select("request_id", "paper_id")
-    hits = by_key.unionAll(by_alternate).distinct()
-    return _described(_first_per_request(hits, limit, "paper_id"), papers, scores)
+    return _first_per_request(by_key.unionAll(by_alternate).distinct(), limit, "paper_id")
+
+
+def cited_by(
+    requested: DataFrame, edges: DataFrame, papers: DataFrame, scores: DataFrame, limit: int | None = 50
+) -> DataFrame:
+    """Papers that cite a requested one, under its key or its alternate id."""
+    return _described(_citing(requested, edges, papers, limit), papers, scores)
+
+
+def references(
+    requested: DataFrame, edges: DataFrame, papers: DataFrame, scores: DataFrame, limit: int | None = 50
+) -> DataFrame:
+    """Corpus papers that a requested one cites, found by key or by alternate id.
+
+    Two equi-joins and a distinct union; a join with OR would compare every pair.
+    """
+    return _described(_cited(requested, edges, papers, limit), papers, scores)
 
 
 def neighbourhood(
     requested: DataFrame, edges: DataFrame, papers: DataFrame, scores: DataFrame,
     direction: str = "both", limit: int | None = 50,
 ) -> DataFrame:
+    """Neighbours in either direction; titles and scores are joined once to all of them."""
     if limit is not None and not 1 <= limit <= 200:
         raise ValueError("limit must lie in 1..200")
-    parts = []
-    if direction in ("cited_by", "both"):
-        parts.append(cited_by(requested, edges, papers, scores, limit).withColumn("direction", F.lit("cited_by")))
-    if direction in ("references", "both"):
-        parts.append(references(requested, edges, papers, scores, limit).withColumn("direction", F.lit("references")))
-    if not parts:
+    found = {"cited_by": _citing, "references": _cited}
+    wanted = list(found) if direction == "both" else [direction]
+    if wanted[0] not in found:
         raise ValueError("direction must be cited_by, references or both")
-    columns = ["request_id", "direction", "paper_id", "title", "pagerank_score"]
-    result = parts[0].select(*columns)
-    for other in parts[1:]:
-        result = result.unionAll(other.select(*columns))
-    return result
+    parts = [
+        found[name](requested, edges, papers, limit).withColumn("direction", F.lit(name)) for name in wanted
+    ]
+    hits = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return _described(hits, papers, scores).select("request_id", "direction", "paper_id", "title", "pagerank_score")
 
 
 def paper_detail(requested: DataFrame, papers: DataFrame, scores: DataFrame, edges: DataFrame) -> DataFrame:

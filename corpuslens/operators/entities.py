@@ -89,16 +89,13 @@ def tag_with_dictionary(texts: DataFrame, gazetteer: DataFrame, max_words: int =
         kept = matches
     else:
         covered = matches.withColumn("at", F.explode(F.sequence("pos", F.col("pos") + F.col("n") - 1)))
-        winners = covered.groupBy("paper_id", "at").agg(
-            F.min(F.struct((-F.col("n")).alias("len"), "pos", "term", "entity_type")).alias("m")
-        )
+        # Longer before shorter, then earlier before later, as one number per match.
+        strength = F.col("n") * F.lit(2**40) - F.col("pos")
+        best = F.max(strength).over(Window.partitionBy("paper_id", "at"))
         kept = (
-            winners.groupBy("paper_id", "m").agg(F.count(F.lit(1)).alias("won"))
-            .filter(F.col("won") == -F.col("m.len"))
-            .select(
-                "paper_id", (-F.col("m.len")).alias("n"), F.col("m.pos").alias("pos"),
-                F.col("m.term").alias("term"), F.col("m.entity_type").alias("entity_type"),
-            )
+            covered.withColumn("best", best).filter(F.col("best") == strength)
+            .groupBy("paper_id", "pos", "n", "term", "entity_type").agg(F.count(F.lit(1)).alias("won"))
+            .filter(F.col("won") == F.col("n"))
         )
     return kept.select(
         F.col("term").alias("entity_text"), "entity_type", F.lit(1.0).alias("confidence"), "paper_id",

@@ -16,8 +16,8 @@ from corpuslens.operators import trends as tr
 
 AS_OF = "2024-06-30"
 
-# Tables whose rows cost far more to process than to move.
-TEXT_TABLES = ("documents", "pages", "conversations")
+# Tables whose rows cost more to process than to move.
+SPREAD_TABLES = ("documents", "pages", "conversations", "lineitem", "orders")
 
 
 class Views:
@@ -26,7 +26,7 @@ class Views:
 
     def table(self, name: str) -> DataFrame:
         df = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
-        return session.spread(df) if name in TEXT_TABLES else df
+        return session.spread(df) if name in SPREAD_TABLES else df
 
     def scratch(self, name: str) -> str:
         return session.working_path(self.spark, name)
