@@ -86,9 +86,20 @@ def sentences(text: Column) -> Column:
     return F.filter(restored, lambda s: s != "")
 
 
+def unfold(df: DataFrame, array: Column, name: str, *keep, pos: str | None = None) -> DataFrame:
+    """One row per element of a costly array expression.
+
+    A plain explode makes Spark filter by the size of the array first, which computes it twice; the
+    outer form with a filter behind it computes it once.
+    """
+    if pos is None:
+        return df.select(*keep, F.explode_outer(array).alias(name)).filter(F.col(name).isNotNull())
+    return df.select(*keep, F.posexplode_outer(array).alias(pos, name)).filter(F.col(pos).isNotNull())
+
+
 def split_sentences(df: DataFrame, column: str, *keep: str) -> DataFrame:
     """One row per sentence with its position."""
-    return df.select(*keep, F.posexplode(sentences(F.col(column))).alias("pos", "sentence"))
+    return unfold(df, sentences(F.col(column)), "sentence", *keep, pos="pos")
 
 
 def rejoin_sentences(text: Column) -> Column:

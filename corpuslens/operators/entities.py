@@ -38,7 +38,9 @@ def prioritise_sections(
 def prepare_for_tagging(papers: DataFrame, text: str = "abstract", least: int = 50) -> DataFrame:
     """Clean, sentence-joined texts that are long enough."""
     cleaned = tx.rejoin_sentences(tx.clean(F.col(text)))
-    return papers.select("paper_id", cleaned.alias("text")).filter(F.length("text") >= least)
+    # A filter on the clean text would be moved below it and clean every text twice.
+    kept = F.filter(F.array(cleaned), lambda t: F.length(t) >= least)
+    return tx.unfold(papers, kept, "text", "paper_id")
 
 
 def tag_with_model(texts: DataFrame, load: Callable[[], Callable[[list[str]], list[list[dict]]]]) -> DataFrame:
@@ -84,7 +86,7 @@ def tag_with_dictionary(texts: DataFrame, gazetteer: DataFrame, max_words: int =
     terms = gazetteer.select(F.lower("term").alias("term"), "entity_type").groupBy("term").agg(
         F.min("entity_type").alias("entity_type")
     )
-    matches = tokens.select("paper_id", F.inline(grams)).join(terms, "term")
+    matches = tx.unfold(tokens, grams, "g", "paper_id").select("paper_id", "g.*").join(terms, "term")
     if max_words == 1:
         kept = matches
     else:
@@ -160,9 +162,8 @@ def decode_spans(tokens: DataFrame, chunk: int = 4096) -> DataFrame:
 
     def pieces(which: Column) -> DataFrame:
         found = _pieces(F.col("t"), F.col("cuts"), which)
-        return cut.select("paper_id", "chunk", F.inline(found)).filter(F.col("label") != "O").withColumn(
-            "label", _kind(F.col("label"))
-        )
+        rows = tx.unfold(cut, found, "s", "paper_id", "chunk").select("paper_id", "chunk", "s.*")
+        return rows.filter(F.col("label") != "O").withColumn("label", _kind(F.col("label")))
 
     edge = F.col("from_left") | F.col("to_right")
     last = F.size("cuts") - 1

@@ -62,7 +62,7 @@ def vocabulary(analysed: DataFrame, stem: bool) -> DataFrame:
 
 def query_terms(queries: DataFrame, stem: bool) -> DataFrame:
     """Terms of each query with the number of times they occur in it."""
-    found = queries.select("query_id", F.explode(tx.content_words(F.col("text"))).alias("surface"))
+    found = tx.unfold(queries, tx.content_words(F.col("text")), "surface", "query_id")
     term = porter_stem("surface") if stem else F.col("surface")
     return found.select("query_id", term.alias("term")).groupBy("query_id", "term").agg(
         F.count(F.lit(1)).cast("double").alias("weight")
@@ -103,8 +103,8 @@ def expand_fuzzy(terms: DataFrame, wanted: DataFrame) -> DataFrame:
     asked = wanted.select("term").distinct().withColumn("edits", allowed_edits(F.col("term")))
     longest = asked.agg(F.max(F.length("term")).alias("n")).scalar()
     shapes = terms.select(F.col("term").alias("found")).distinct().filter(F.length("found") <= longest + 2)
-    left = asked.select("term", "edits", F.explode(_variants(F.col("term"), F.col("edits"))).alias("shape"))
-    right = shapes.select("found", F.explode(_variants(F.col("found"), F.lit(2))).alias("shape"))
+    left = tx.unfold(asked, _variants(F.col("term"), F.col("edits")), "shape", "term", "edits")
+    right = tx.unfold(shapes, _variants(F.col("found"), F.lit(2)), "shape", "found")
     pairs = left.join(right, "shape").select("term", "edits", "found").distinct()
     distance = F.levenshtein("term", "found")
     near = pairs.withColumn("distance", distance).filter(F.col("distance") <= F.col("edits"))

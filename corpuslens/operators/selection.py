@@ -242,7 +242,7 @@ def classify_with_model(
 def paper_sentences(papers: DataFrame) -> DataFrame:
     """Clean sentences of the body, or of the abstract where there is no body."""
     text = tx.clean(F.coalesce("full_text", "abstract"))
-    return papers.select("paper_id", F.posexplode(tx.sentences(text)).alias("pos", "sentence"))
+    return tx.unfold(papers, tx.sentences(text), "sentence", "paper_id", pos="pos")
 
 
 def top_sentences(

@@ -79,7 +79,7 @@ def limitation_themes(
     abstracts: DataFrame, themes: Mapping[str, Sequence[str]] = fixed.THEMES,
 ) -> DataFrame:
     """Papers per theme, the most frequent first; a paper counts in each theme it touches."""
-    hits = _matched(abstracts, themes, fixed.LIMITATION_CUES).select(F.explode("themes").alias("theme"))
+    hits = tx.unfold(_matched(abstracts, themes, fixed.LIMITATION_CUES), F.col("themes"), "theme")
     return hits.groupBy("theme").agg(F.count(F.lit(1)).alias("papers")).orderBy(
         F.col("papers").desc(), "theme"
     )
@@ -90,8 +90,9 @@ def theme_examples(
     cues: Sequence[str] = fixed.LIMITATION_CUES, k: int = 3,
 ) -> DataFrame:
     """The newest papers of each theme with a limitation sentence."""
-    hits = _matched(abstracts, themes, cues).select(
-        F.explode("themes").alias("theme"), "paper_id", "title", "topic_cluster", "submitted_date", "snippet"
+    hits = tx.unfold(
+        _matched(abstracts, themes, cues), F.col("themes"), "theme",
+        "paper_id", "title", "topic_cluster", "submitted_date", "snippet",
     )
     order = Window.partitionBy("theme").orderBy(F.col("submitted_date").desc(), F.col("paper_id"))
     return hits.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)

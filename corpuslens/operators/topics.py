@@ -151,7 +151,7 @@ def assign_topics(
 def topic_word_counts(docs: DataFrame, topics: DataFrame, key: str = "paper_id", text: str = "text") -> DataFrame:
     """Word counts per topic, combined before the shuffle."""
     tokens = docs.select(key, tx.content_words(F.col(text)).alias("w")).join(topics.select(key, "topic_id"), key)
-    return tokens.select("topic_id", F.explode("w").alias("term")).groupBy("topic_id", "term").agg(
+    return tx.unfold(tokens, F.col("w"), "term", "topic_id").groupBy("topic_id", "term").agg(
         F.count(F.lit(1)).alias("tf")
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuslens.functions import fixed_values as fixed
 from corpuslens.functions import identifiers as ids
+from corpuslens.functions.text import unfold
 
 _SPAN = "array<struct<start: string, end: string>>"
 
@@ -212,10 +213,8 @@ def extract_edges(raw: DataFrame, ingested_at: Column) -> DataFrame:
         return F.coalesce(kept, F.array().cast("array<string>"))
 
     rows = rows.select("me", others("references").alias("out"), others("citations").alias("in"))
-    linked = rows.select(
-        "me", (F.size("out") > 0).alias("outgoing"),
-        F.explode(F.when(F.size("out") > 0, F.col("out")).otherwise(F.col("in"))).alias("other"),
-    )
+    chosen = F.when(F.size("out") > 0, F.col("out")).otherwise(F.col("in"))
+    linked = unfold(rows, chosen, "other", "me", (F.size("out") > 0).alias("outgoing"))
     return linked.select(
         F.when(F.col("outgoing"), F.col("me")).otherwise(F.col("other")).alias("citing_id"),
         F.when(F.col("outgoing"), F.col("other")).otherwise(F.col("me")).alias("cited_id"),

@@ -23,20 +23,21 @@ _TYPES = {
 
 
 def _parsed(lines: DataFrame, schema: str) -> DataFrame:
-    """Lines with their record; a malformed line keeps its text in one column of the record.
+    """Fields of each line's record; a malformed line keeps its text in one column.
 
     Parsing is an expression here, not part of the file source, because the source refuses plans
     that only need to know which lines are malformed, such as a count.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
     record = F.from_json("value", schemas.with_corrupt(schema), options)
-    return lines.filter(F.trim("value") != "").withColumn("record", record)
+    kept = lines.filter(F.trim("value") != "")
+    return kept.select(*[c for c in lines.columns if c != "value"], F.inline(F.array(record)))
 
 
 def read_jsonl(spark: SparkSession, paths: str | Sequence[str], schema: str) -> DataFrame:
     """JSON lines, plain or gzip (by suffix), from folders of any depth."""
     lines = spark.read.option("recursiveFileLookup", "true").text(paths)
-    return _parsed(lines, schema).select("record.*")
+    return _parsed(lines, schema)
 
 
 def well_formed(df: DataFrame) -> DataFrame:
@@ -47,7 +48,7 @@ def malformed_report(spark: SparkSession, paths: str | Sequence[str], schema: st
     """Good and bad lines of each file."""
     lines = spark.read.option("recursiveFileLookup", "true").text(paths)
     rows = _parsed(lines.select("value", F.col("_metadata.file_name").alias("file_name")), schema).select(
-        "file_name", F.col(f"record.{schemas.CORRUPT}").isNotNull().alias("bad")
+        "file_name", F.col(schemas.CORRUPT).isNotNull().alias("bad")
     )
     return rows.groupBy("file_name").agg(
         F.count_if(~F.col("bad")).alias("good_lines"), F.count_if("bad").alias("bad_lines")
@@ -201,4 +202,4 @@ def read_landing(
         rows = rows.filter(F.col("date") >= F.lit(date_from).cast("date"))
     if date_to is not None:
         rows = rows.filter(F.col("date") <= F.lit(date_to).cast("date"))
-    return well_formed(_parsed(rows, schema).select("record.*", "source", "category", "date"))
+    return well_formed(_parsed(rows, schema))
