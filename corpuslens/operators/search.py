@@ -83,14 +83,15 @@ def _one_less(term: Column) -> Column:
     )
 
 
-def _variants(term: Column, edits: Column) -> Column:
-    """`term` and what remains of it after up to `edits` deletions."""
-    same = F.array(term)
-    once = F.when(edits >= 1, _one_less(term)).otherwise(F.array().cast("array<string>"))
-    twice = F.when(edits >= 2, F.flatten(F.transform(_one_less(term), _one_less))).otherwise(
-        F.array().cast("array<string>")
+def _shapes(words: DataFrame, word: str, edits: Column) -> DataFrame:
+    """Every word with itself and what remains of it after up to `edits` deletions, one per row."""
+    none = F.array().cast("array<string>")
+    once = words.withColumn("less", F.array_distinct(_one_less(F.col(word))))
+    twice = F.flatten(F.transform("less", lambda w: _one_less(w)))
+    every = F.concat(
+        F.array(word), F.when(edits >= 1, F.col("less")).otherwise(none), F.when(edits >= 2, twice).otherwise(none)
     )
-    return F.array_distinct(F.concat(same, once, twice))
+    return tx.unfold(once, F.array_distinct(every), "shape", *words.columns)
 
 
 def expand_fuzzy(terms: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -98,17 +99,22 @@ def expand_fuzzy(terms: DataFrame, wanted: DataFrame) -> DataFrame:
 
     Two strings within d edits share a string that lacks at most d letters of each. So both sides
     list what remains after deletions, meet in an equi-join, and only those pairs are measured. Words
-    longer than any wanted term plus two can match nothing and list nothing.
+    whose length no wanted term can reach match nothing and list nothing.
     """
     asked = wanted.select("term").distinct().withColumn("edits", allowed_edits(F.col("term")))
-    longest = asked.agg(F.max(F.length("term")).alias("n")).scalar()
-    shapes = terms.select(F.col("term").alias("found")).distinct().filter(F.length("found") <= longest + 2)
-    left = tx.unfold(asked, _variants(F.col("term"), F.col("edits")), "shape", "term", "edits")
-    right = tx.unfold(shapes, _variants(F.col("found"), F.lit(2)), "shape", "found")
+    n = F.length("term")
+    reach = asked.agg(F.struct(
+        F.min(n - F.col("edits")).alias("lo"), F.max(n + F.col("edits")).alias("hi"), F.max("edits").alias("most")
+    ).alias("r")).scalar()
+    near = terms.select(F.col("term").alias("found")).distinct().filter(
+        F.length("found").between(reach["lo"], reach["hi"])
+    )
+    left = _shapes(asked, "term", F.col("edits"))
+    right = _shapes(near, "found", reach["most"])
     pairs = left.join(right, "shape").select("term", "edits", "found").distinct()
     distance = F.levenshtein("term", "found")
-    near = pairs.withColumn("distance", distance).filter(F.col("distance") <= F.col("edits"))
-    return near.select(
+    close = pairs.withColumn("distance", distance).filter(F.col("distance") <= F.col("edits"))
+    return close.select(
         "term", "found", "distance",
         (1 - F.col("distance") / F.least(F.length("term"), F.length("found"))).alias("similarity"),
     ).filter(F.col("similarity") > 0)
