@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from corpuslens import schemas
 from corpuslens.functions import identifiers as ids
 from corpuslens.operators import consolidate, entities
 from corpuslens.sources import normalise, readers, writers
