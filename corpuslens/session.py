@@ -24,14 +24,12 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local master may fall back to a temporary folder of this machine.
     """
     sc = spark.sparkContext
-    folder = spark.conf.get(CHECKPOINT_KEY, None) or sc.getConf().get(CHECKPOINT_KEY)
+    folder = spark.conf.get(CHECKPOINT_KEY, None) or sc.getConf().get(CHECKPOINT_KEY) or sc.getCheckpointDir()
     if not folder:
         if not sc.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="corpuslens-")
-        spark.conf.set(CHECKPOINT_KEY, folder)
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="corpuslens-"))
+        folder = sc.getCheckpointDir()
     return folder
 
 
