@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuslens.llm import length_buckets, quality, simhash, url_filter
+from corpuslens.llm import byte_bpe, length_buckets, quality, simhash, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_components": simhash.op1_simhash_components,
     "op2_line_quality": quality.op2_line_quality,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_length_buckets": length_buckets.op4_length_buckets,
+    "op5_byte_bpe": byte_bpe.op5_byte_bpe,
     "op9_url_verdicts": url_filter.op9_url_verdicts,
 }
 
