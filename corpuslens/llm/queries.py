@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuslens.llm import byte_bpe, length_buckets, quality, simhash, toxicity, url_filter
+from corpuslens.llm import binary_output, byte_bpe, html_text, length_buckets, nearest, quality, simhash, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_components": simhash.op1_simhash_components,
@@ -14,6 +14,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_length_buckets": length_buckets.op4_length_buckets,
     "op5_byte_bpe": byte_bpe.op5_byte_bpe,
+    "op6_main_text": html_text.op6_main_text,
+    "op7_packed_ids": binary_output.op7_packed_ids,
+    "op8_nearest_vectors": nearest.op8_nearest_vectors,
     "op9_url_verdicts": url_filter.op9_url_verdicts,
 }
 
