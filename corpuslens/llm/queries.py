@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuslens.llm import binary_output, byte_bpe, html_text, length_buckets, nearest, quality, simhash, toxicity, url_filter
+import corpus_pipeline
+from corpuslens.llm import (
+    binary_output, byte_bpe, html_text, length_buckets, maxent, nearest, quality, simhash, toxicity, url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_components": simhash.op1_simhash_components,
@@ -18,6 +21,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_packed_ids": binary_output.op7_packed_ids,
     "op8_nearest_vectors": nearest.op8_nearest_vectors,
     "op9_url_verdicts": url_filter.op9_url_verdicts,
+    "op10_maxent_scores": maxent.op10_maxent_scores,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {
