@@ -23,7 +23,8 @@ _CONTROL = r"[\p{Cc}\p{Cf}&&[^\n\t ]]"
 ABBREVIATIONS = ("et al", "Fig", "Figs", "Eq", "Eqs", "Sec", "Ref", "Tab", "e.g", "i.e", "cf", "vs", "resp")
 _DOT = "\u0001"
 
-_WORD_GAP = r"[^\p{L}\p{N}]+"
+# Marks belong to the letter before them.
+_WORD_GAP = r"[^\p{L}\p{N}\p{M}]+"
 
 
 @F.pandas_udf(StringType())
@@ -64,13 +65,15 @@ def squeeze(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, F.lit(r"(?U)\s+"), F.lit(" ")))
 
 
-def clean(text: Column, normalise: bool = False) -> Column:
-    """Plain text of an abstract; NULL becomes the empty string.
+def composed(text: Column) -> Column:
+    """NFC of a text. Only texts with a character from U+0300 up can change, so only these reach Python."""
+    return F.coalesce(nfc(F.when(F.regexp_like(text, F.lit("[^\\x{0}-\\x{2FF}]")), text)), text)
 
-    `normalise` adds the NFC step, which sends the column through Python once.
-    """
+
+def clean(text: Column, normalise: bool = True) -> Column:
+    """Plain text of an abstract in NFC; NULL becomes the empty string."""
     stripped = strip_urls(strip_markup(F.coalesce(text, F.lit(""))))
-    return squeeze(strip_controls(nfc(stripped) if normalise else stripped))
+    return squeeze(strip_controls(composed(stripped) if normalise else stripped))
 
 
 def clean_text(df: DataFrame, column: str, output: str = "clean", normalise: bool = True) -> DataFrame:

@@ -217,13 +217,14 @@ def corpus_stats(
     )
 
 
-def topic_clusters(papers: DataFrame, k: int = 100) -> DataFrame:
-    """Size and centre of each topic, the largest first."""
+def topic_clusters(papers: DataFrame, k: int | None = 100) -> DataFrame:
+    """Size and centre of each topic, the largest first; all of them without `k`."""
     kept = papers.filter(F.col("topic_cluster_id").isNotNull() & (F.col("topic_cluster_id") != -1))
-    return kept.groupBy("topic_cluster_id", "topic_cluster").agg(
+    found = kept.groupBy("topic_cluster_id", "topic_cluster").agg(
         F.count(F.lit(1)).alias("paper_count"),
         F.avg("umap_x").alias("centroid_x"), F.avg("umap_y").alias("centroid_y"),
-    ).orderBy(F.col("paper_count").desc(), "topic_cluster_id").limit(k)
+    ).orderBy(F.col("paper_count").desc(), "topic_cluster_id")
+    return found if k is None else found.limit(k)
 
 
 def trending_topics(papers: DataFrame, k: int = 20) -> DataFrame:

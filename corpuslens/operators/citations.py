@@ -32,7 +32,7 @@ def _citing(requested: DataFrame, edges: DataFrame, papers: DataFrame, limit: in
     forms = own.select("request_id", F.col("request_id").alias("cited_id")).unionAll(
         known.select("request_id", F.col("s2_paper_id").alias("cited_id"))
     ).distinct()
-    hits = edges.join(forms, "cited_id").select("request_id", F.col("citing_id").alias("paper_id"))
+    hits = edges.join(forms, "cited_id").select("request_id", F.col("citing_id").alias("paper_id")).distinct()
     return _first_per_request(hits, limit, "paper_id")
 
 
@@ -55,7 +55,7 @@ def _cited(requested: DataFrame, edges: DataFrame, papers: DataFrame, limit: int
 def cited_by(
     requested: DataFrame, edges: DataFrame, papers: DataFrame, scores: DataFrame, limit: int | None = 50
 ) -> DataFrame:
-    """Papers that cite a requested one, under its key or its alternate id."""
+    """Papers that cite a requested one, under its key or its alternate id; once each, as in `references`."""
     return _described(_citing(requested, edges, papers, limit), papers, scores)
 
 
@@ -91,8 +91,13 @@ def paper_detail(requested: DataFrame, papers: DataFrame, scores: DataFrame, edg
     """All fields of the requested papers, with score and degrees. The neighbours themselves are rows
     of `paper_links`: a paper cited by a large part of the corpus must not become one array."""
     asked = requested.select("paper_id").distinct()
-    cited = edges.groupBy(F.col("cited_id").alias("paper_id")).agg(F.count(F.lit(1)).alias("cited_by_count"))
-    citing = edges.groupBy(F.col("citing_id").alias("paper_id")).agg(F.count(F.lit(1)).alias("references_count"))
+
+    def degree(end: str, name: str) -> DataFrame:
+        """Counted for the requested papers only."""
+        at = edges.select(F.col(end).alias("paper_id")).join(asked, "paper_id", "left_semi")
+        return at.groupBy("paper_id").agg(F.count(F.lit(1)).alias(name))
+
+    cited, citing = degree("cited_id", "cited_by_count"), degree("citing_id", "references_count")
     return (
         papers.join(asked, "paper_id", "left_semi")
         .join(scores.select("paper_id", "pagerank_score"), "paper_id", "left")
@@ -110,11 +115,12 @@ def paper_links(requested: DataFrame, edges: DataFrame) -> DataFrame:
     return both.join(asked, "paper_id", "left_semi")
 
 
-def incident_edges(edges: DataFrame, paper_id: str | None = None, limit: int = 50) -> DataFrame:
-    """Edges at a paper, or of the whole graph, in key order."""
-    if not 1 <= limit <= 200:
+def incident_edges(edges: DataFrame, paper_id: str | None = None, limit: int | None = 50) -> DataFrame:
+    """Edges at a paper, or of the whole graph, in key order; all of them without a limit."""
+    if limit is not None and not 1 <= limit <= 200:
         raise ValueError("limit must lie in 1..200")
     rows = edges
     if paper_id is not None:
         rows = rows.filter((F.col("citing_id") == paper_id) | (F.col("cited_id") == paper_id))
-    return rows.select("citing_id", "cited_id").orderBy("citing_id", "cited_id").limit(limit)
+    ordered = rows.select("citing_id", "cited_id").orderBy("citing_id", "cited_id")
+    return ordered if limit is None else ordered.limit(limit)

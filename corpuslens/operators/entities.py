@@ -106,7 +106,7 @@ def tag_with_dictionary(texts: DataFrame, gazetteer: DataFrame, max_words: int =
 
 
 def _kind(label: Column) -> Column:
-    return F.substring(label, 3, 1000)
+    return F.substr(label, F.lit(3))
 
 
 def _cuts(tokens: Column) -> Column:

@@ -264,11 +264,11 @@ def related_by_topic(papers: DataFrame, k: int = 4, fetched: int = 6, stem: bool
     return named.join(listed, "topic_cluster").select("paper_id", F.posexplode(others).alias("place", "related_id"))
 
 
-def build_index(papers: DataFrame, path: str, months: Sequence[str] | None = None) -> None:
+def build_index(papers: DataFrame, path: str, months: Sequence[str] | None = None, stem: bool = True) -> None:
     """Write postings and field totals of the papers, or of some months, replacing just those months."""
     rows = papers if months is None else papers.filter(F.col("ingest_year_month").isin(list(months)))
     analysed = analyse(rows, "paper_id", list(PAPER_FIELDS), keep=["ingest_year_month"])
-    words = vocabulary(analysed, stem=True)
+    words = vocabulary(analysed, stem)
     surfaces = analysed.select(
         "ingest_year_month", "doc", "field", F.size("terms").alias("len"), F.explode("terms").alias("surface")
     ).groupBy("ingest_year_month", "doc", "field", "len", "surface").agg(F.count(F.lit(1)).alias("n"))
@@ -279,14 +279,18 @@ def build_index(papers: DataFrame, path: str, months: Sequence[str] | None = Non
         F.count(F.lit(1)).alias("n_docs"), F.sum(F.size("terms")).alias("total_len")
     )
     for name, table in (("postings", postings), ("totals", totals)):
-        table.hint("rebalance", "ingest_year_month").write.option(
+        # Files of a month are sorted by term, so that their statistics rule out most row groups.
+        order = ["ingest_year_month", *(["term"] if "term" in table.columns else [])]
+        table.hint("rebalance", *order).sortWithinPartitions(*order).write.option(
             "partitionOverwriteMode", "dynamic"
         ).mode("overwrite").partitionBy("ingest_year_month").parquet(f"{path}/{name}")
 
 
-def search_index(spark: SparkSession, path: str, queries: DataFrame, k: int | None = 20) -> DataFrame:
+def search_index(
+    spark: SparkSession, path: str, queries: DataFrame, k: int | None = 20, stem: bool = True,
+) -> DataFrame:
     """The same ranking from a stored index: only postings of the query's terms are shuffled."""
-    asked = query_terms(queries, stem=True).withColumn("kind", F.lit(TEXT))
+    asked = query_terms(queries, stem).withColumn("kind", F.lit(TEXT))
     postings = spark.read.parquet(f"{path}/postings").withColumn("kind", F.lit(TEXT))
     counts = postings.join(asked.select("term").distinct(), "term", "left_semi")
     stats = spark.read.parquet(f"{path}/totals").groupBy("field").agg(

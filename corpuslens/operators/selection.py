@@ -28,12 +28,6 @@ def full_weights(weights: Mapping[str, float] | None = None) -> dict[str, float]
     return {name: merged[name] / total for name in fixed.SIGNAL_WEIGHTS}
 
 
-def cap_candidates(candidates: DataFrame, n: int = 200) -> DataFrame:
-    """The `n` most relevant candidates of each query, which bounds every later group."""
-    order = Window.partitionBy("query_id").orderBy(F.col("es_score").desc(), F.col("paper_id"))
-    return candidates.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= n).drop("_n")
-
-
 def is_placed_topic(topic: Column) -> Column:
     return F.coalesce(topic, F.lit(-1)) != -1
 
@@ -45,33 +39,28 @@ def recency(day: Column, as_of: Column, decay_days: int = fixed.RECENCY_DAYS) ->
 
 
 def score_signals(candidates: DataFrame, as_of: Column) -> DataFrame:
-    """Relevance, influence, recency and representativeness in 0..1 for capped candidates."""
-    per_query = Window.partitionBy("query_id")
-    per_topic = Window.partitionBy("query_id", "topic_cluster_id")
+    """Relevance, influence, recency and representativeness in 0..1 for every candidate.
+
+    Centres of topics and extents of queries are aggregates that combine before the shuffle and come back by joins on
+    small sides, so a query may have any number of candidates.
+    """
     score = F.coalesce("pagerank_score", F.lit(fixed.SCORE_FLOOR))
-    top_score = F.max(score).over(per_query)
-    placed = is_placed_topic(F.col("topic_cluster_id"))
-    distance = F.when(
-        placed,
-        F.sqrt(
-            F.pow(F.col("umap_x") - F.avg("umap_x").over(per_topic), 2)
-            + F.pow(F.col("umap_y") - F.avg("umap_y").over(per_topic), 2)
-        ),
+    centres = candidates.filter(is_placed_topic(F.col("topic_cluster_id"))).groupBy("query_id", "topic_cluster_id").agg(
+        F.avg("umap_x").alias("_cx"), F.avg("umap_y").alias("_cy")
+    )
+    away = F.sqrt(F.pow(F.col("umap_x") - F.col("_cx"), 2) + F.pow(F.col("umap_y") - F.col("_cy"), 2))
+    rows = candidates.join(centres, ["query_id", "topic_cluster_id"], "left").withColumn("_distance", away)
+    extents = rows.groupBy("query_id").agg(
+        F.max("es_score").alias("_top"), F.max(score).alias("_best"), F.max("_distance").alias("_far"),
+        F.min("_distance").alias("_near"),
     )
-    rows = candidates.withColumn("distance", distance)
-    far = F.max("distance").over(per_query)
-    near = F.min("distance").over(per_query)
-    return rows.select(
+    return rows.join(extents, "query_id", "left").select(
         *candidates.columns,
-        F.coalesce(
-            F.try_divide(F.col("es_score"), F.max("es_score").over(per_query)), F.lit(0.0)
-        ).alias("relevance"),
-        (
-            (score - fixed.SCORE_FLOOR) / guarded_range(F.lit(fixed.SCORE_FLOOR), top_score)
-        ).alias("influence"),
+        F.coalesce(F.try_divide(F.col("es_score"), F.col("_top")), F.lit(0.0)).alias("relevance"),
+        ((score - fixed.SCORE_FLOOR) / guarded_range(F.lit(fixed.SCORE_FLOOR), F.col("_best"))).alias("influence"),
         recency(F.col("submitted_date"), as_of).alias("recency"),
         F.coalesce(
-            (far - F.col("distance")) / guarded_range(near, far), F.lit(0.0)
+            (F.col("_far") - F.col("_distance")) / guarded_range(F.col("_near"), F.col("_far")), F.lit(0.0)
         ).alias("representativeness"),
     )
 

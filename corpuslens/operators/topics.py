@@ -86,7 +86,7 @@ def dense_cells(cells: DataFrame, min_samples: int) -> DataFrame:
     return cells.join(sums, ["cx", "cy"]).filter(F.col("near") >= min_samples)
 
 
-def connected(edges: DataFrame, nodes: DataFrame, max_rounds: int = 60, cut_every: int = 3) -> DataFrame:
+def connected(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Smallest node reachable from each node: (id, component).
 
     Every round takes the smallest label among the neighbours and then follows that label one step
@@ -94,7 +94,7 @@ def connected(edges: DataFrame, nodes: DataFrame, max_rounds: int = 60, cut_ever
     """
     edges = cut_lineage(edges)
     labels = cut_lineage(nodes.select("id", F.col("id").alias("component")))
-    for step in range(1, max_rounds + 1):
+    while True:
         near = edges.join(labels.select(F.col("id").alias("dst"), "component"), "dst").groupBy(
             F.col("src").alias("id")
         ).agg(F.min("component").alias("near"))
@@ -106,7 +106,6 @@ def connected(edges: DataFrame, nodes: DataFrame, max_rounds: int = 60, cut_ever
         labels = fresh.select("id", "component")
         if fresh.filter(F.col("old") != F.col("component")).isEmpty():
             return labels
-    raise RuntimeError(f"components still change after {max_rounds} rounds")
 
 
 def assign_topics(

@@ -21,7 +21,7 @@ SESSION_CONF = {
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, as named by the cluster.
 
-    Only a local master may fall back to a temporary folder of this machine.
+    Only where the key is unset on a local master, whose one process is all there is, a temporary folder stands in.
     """
     sc = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_KEY, None) or sc.getConf().get(CHECKPOINT_KEY) or sc.getCheckpointDir()
@@ -34,8 +34,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def working_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/corpuslens/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, removed when the session's JVM ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/corpuslens/{name}-{uuid.uuid4().hex}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return path.toString()
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a path that `working_path` gave, before the session ends."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -60,12 +68,3 @@ def bucketed(df: DataFrame, *keys: str) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
     return spark.table(name)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Even out an input that comes in fewer splits than there are cores; others pass unchanged.
-
-    Only small inputs are moved: anything above one split per core is large enough already.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -16,6 +16,11 @@ def _text(column: Column) -> Column:
     return F.trim(F.coalesce(column, F.lit("")))
 
 
+def _named(value: Column, field: str) -> Column:
+    """A value that some records give plainly and others as the JSON text of an object with it."""
+    return F.when(F.startswith(F.ltrim(value), F.lit("{")), F.get_json_object(value, f"$.{field}")).otherwise(value)
+
+
 def normalise_a(raw: DataFrame, ingested_at: Column, source: str = fixed.SOURCES[0]) -> DataFrame:
     """Preprint results: short id without version, ISO days, the link titled pdf."""
     pdf = F.get(F.filter("links", lambda x: x["title"] == "pdf"), F.lit(0))
@@ -71,10 +76,12 @@ def normalise_b(raw: DataFrame, ingested_at: Column, source: str = fixed.SOURCES
             ids.non_empty(F.col("publicationDate")), ids.non_empty(F.col("year"))
         ).alias("date"),
         F.coalesce(
-            ids.non_empty(F.col("venue")), F.col("publicationVenue.name"), F.lit("")
+            ids.non_empty(_named(F.col("venue"), "name")), F.col("publicationVenue.name"), F.lit("")
         ).alias("venue"),
         F.coalesce(
-            F.filter("fieldsOfStudy", lambda f: F.coalesce(f, F.lit("")) != ""),
+            F.filter(
+                F.transform("fieldsOfStudy", lambda f: _named(f, "category")), lambda f: F.coalesce(f, F.lit("")) != ""
+            ),
             F.array().cast("array<string>"),
         ).alias("categories"),
         F.coalesce("citationCount", F.lit(0)).alias("citation_count"),

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpuslens import schemas
 from corpuslens.functions import fixed_values as fixed
@@ -22,16 +23,55 @@ _TYPES = {
 }
 
 
+def _typed(name: str, kind: T.DataType) -> Column:
+    """A field, read as text, in its type. What cannot be converted is NULL, and the record stays.
+
+    Numbers may be quoted or have decimals; a list may be the JSON text of a list or a lone value; items of a list of records
+    that are plain values become records with that value first.
+    """
+    text = F.col(name)
+    if isinstance(kind, T.StringType):
+        value = text
+    elif isinstance(kind, (T.IntegerType, T.LongType)):
+        value = F.coalesce(text.try_cast(kind), F.floor(text.try_cast("double")).try_cast(kind))
+    elif isinstance(kind, T.ArrayType):
+        items = F.from_json(text, "array<string>")
+        if isinstance(kind.elementType, T.StringType):
+            value = F.when(F.startswith(F.ltrim(text), F.lit("[")), items).when(text != "", F.array(text))
+        else:
+            first = kind.elementType.fields[0].name if isinstance(kind.elementType, T.StructType) else None
+
+            def item(x: Column) -> Column:
+                record = F.from_json(x, kind.elementType)
+                if first is None:
+                    return record
+                lone = F.from_json(F.to_json(F.struct(x.alias(first))), kind.elementType)
+                return F.when(F.startswith(F.ltrim(x), F.lit("{")), record).otherwise(lone)
+
+            nested = isinstance(kind.elementType, (T.StructType, T.ArrayType, T.MapType))
+            value = F.transform(items, item) if nested else F.transform(items, lambda x: x.try_cast(kind.elementType))
+    elif isinstance(kind, (T.StructType, T.MapType)):
+        value = F.from_json(text, kind)
+    else:
+        value = text.try_cast(kind)
+    return value.alias(name)
+
+
 def _parsed(lines: DataFrame, schema: str) -> DataFrame:
-    """Fields of each line's record; a malformed line keeps its text in one column.
+    """Fields of each line's record; a malformed line, which is no JSON record, keeps its text in one column.
 
     Parsing is an expression here, not part of the file source, because the source refuses plans
-    that only need to know which lines are malformed, such as a count.
+    that only need to know which lines are malformed, such as a count. Fields are read as text and then converted one by
+    one, so a field of another type costs its own value and not the record.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
-    record = F.from_json("value", schemas.with_corrupt(schema), options)
+    fields = T.StructType.fromDDL(schema).fields
+    record = F.from_json("value", schemas.with_corrupt(", ".join(f"`{f.name}` string" for f in fields)), options)
     kept = lines.filter(F.trim("value") != "")
-    return kept.select(*[c for c in lines.columns if c != "value"], F.inline(F.array(record)))
+    others = [c for c in lines.columns if c != "value"]
+    return kept.select(*others, F.inline(F.array(record))).select(
+        *others, *[_typed(f.name, f.dataType) for f in fields], schemas.CORRUPT
+    )
 
 
 def read_jsonl(spark: SparkSession, paths: str | Sequence[str], schema: str) -> DataFrame:

@@ -120,10 +120,10 @@ def export_fulltext_docs(fulltext: DataFrame, day: str | None = None) -> DataFra
 
 
 def write_docs(docs: DataFrame, path: str) -> dict[str, int]:
-    """Write documents as JSON lines and report how many were read and written."""
+    """Write documents as JSON lines and report how many were read and how many lines the files hold."""
     seen = Observation()
     docs.observe(seen, F.count(F.lit(1)).alias("total_read")).write.mode("overwrite").json(path)
-    return {"total_read": seen.get["total_read"]}
+    return {"total_read": seen.get["total_read"], "total_written": docs.sparkSession.read.text(path).count()}
 
 
 def save_run(df: DataFrame, base: str, run_id: str) -> None:

@@ -76,7 +76,7 @@ def run_daily_counts(stream: DataFrame, checkpoint: str, path: str) -> Streaming
     )
 
 
-def refresh_index(papers: Callable[[], DataFrame], index: str) -> Callable[[DataFrame, int], None]:
+def refresh_index(papers: Callable[[], DataFrame], index: str, stem: bool = True) -> Callable[[DataFrame, int], None]:
     """Batch function that rebuilds the postings of the months in which papers arrived.
 
     The list of months is as short as the history of the corpus.
@@ -85,6 +85,6 @@ def refresh_index(papers: Callable[[], DataFrame], index: str) -> Callable[[Data
     def refresh(batch: DataFrame, batch_id: int) -> None:
         months = [r[0] for r in batch.select("ingest_year_month").distinct().collect()]
         if months:
-            search.build_index(papers(), index, months)
+            search.build_index(papers(), index, months, stem)
 
     return refresh

@@ -192,7 +192,7 @@ def share_of_top(v):
 @query("papers", "edges", "scores", sql="""select request_id, f.paper_id, q.title,
     round(s.pagerank_score, 6) as pagerank_score from (
       select p.paper_id as request_id, e.citing_id as paper_id from papers p join edges e on e.cited_id = p.paper_id
-      union all select p.paper_id, e.citing_id from papers p join edges e on e.cited_id = p.s2_paper_id) f
+      union select p.paper_id, e.citing_id from papers p join edges e on e.cited_id = p.s2_paper_id) f
     left join papers q on q.paper_id = f.paper_id left join scores s on s.paper_id = f.paper_id""")
 def cited_by(v):
     """For every paper, all that cite it."""
@@ -216,7 +216,7 @@ def references(v):
     select *, row_number() over (partition by request_id, direction order by paper_id) as rn from (
       select p.paper_id as request_id, 'cited_by' as direction, e.citing_id as paper_id
         from papers p join edges e on e.cited_id = p.paper_id
-      union all select p.paper_id, 'cited_by', e.citing_id from papers p join edges e on e.cited_id = p.s2_paper_id
+      union select p.paper_id, 'cited_by', e.citing_id from papers p join edges e on e.cited_id = p.s2_paper_id
       union all select request_id, 'references', paper_id from (
         select e.citing_id as request_id, p.paper_id from papers p join edges e on e.cited_id = p.paper_id
         union select e.citing_id, p.paper_id from papers p join edges e on e.cited_id = p.s2_paper_id)))
@@ -310,6 +310,14 @@ def pagerank(v):
     return influence.pagerank(nodes, links).withColumn("pagerank", F.round("pagerank", 5))
 
 
+@query("papers", "edges", sql=f"""{LINKS} {_rounds(10)} select id as paper_id, round(rank, 5) as pagerank from r10""")
+def pagerank_spread(v):
+    """Links of every source with more than two of them lie in several buckets."""
+    links = influence.resolve_edges(v.edges, v.papers)
+    nodes = v.papers.select(F.col("paper_id").alias("id"))
+    return influence.pagerank(nodes, links, links_per_bucket=2).withColumn("pagerank", F.round("pagerank", 5))
+
+
 @query("papers", "edges", sql=f"{LINKS.rstrip().rstrip(',')} select src, dst from links")
 def resolve_edges(v):
     return influence.resolve_edges(v.edges, v.papers)

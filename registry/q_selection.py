@@ -25,9 +25,7 @@ def as_of():
 
 # Every document is a candidate of its source, its relevance taken from its length.
 CANDIDATES = """, cand0 as (select source as query_id, texts.*, scores.pagerank_score,
-    cast(1 + length(abstract) % 97 as double) as es_score from texts join scores using (paper_id)),
-    cand as (select * from (select *, row_number() over (partition by query_id order by es_score desc, paper_id) as rn
-    from cand0) where rn <= 200)"""
+    cast(1 + length(abstract) % 97 as double) as es_score from texts join scores using (paper_id)), cand as (from cand0)"""
 
 SIGNALS = f""", dist as (select *, case when topic_cluster_id <> -1 then sqrt(
       pow(umap_x - avg(umap_x) over (partition by query_id, topic_cluster_id), 2)
@@ -65,10 +63,9 @@ CATEGORIES = """, pts as (select *, 0.7e0 * influence + 0.3e0 * least(1, ln(1 +
 
 
 def candidates(v):
-    rows = v.texts.join(v.text_scores, "paper_id").withColumns({
+    return v.texts.join(v.text_scores, "paper_id").withColumns({
         "query_id": F.col("source"), "es_score": (F.length("abstract") % 97 + 1).cast("double"),
     })
-    return sel.cap_candidates(rows)
 
 
 def rounded(*names, digits=6):

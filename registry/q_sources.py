@@ -71,6 +71,27 @@ def read_source_a(v):
     )
 
 
+@query(sql="""select cast(o_orderkey as varchar) as paper_id, o_orderpriority as title, o_orderstatus as authors,
+    case when o_orderkey % 4 = 3 then null else cast(o_custkey as int) end as citation_count from orders""")
+def read_oddly_typed(v):
+    """Counts with decimals, in quotes or as words, and authors as a list, a lone name or the JSON text of a list."""
+    lines = v.table("orders").select(F.concat(
+        F.lit('{"paper_id":'), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey").cast("string")).otherwise(
+            F.concat(F.lit('"'), F.col("o_orderkey").cast("string"), F.lit('"'))
+        ),
+        F.lit(',"title":"'), "o_orderpriority",
+        F.expr("""case o_orderkey % 4 when 0 then concat('","citation_count":', o_custkey, '.0') when 1 then concat('","citation_count":"', o_custkey, '"')
+            when 2 then concat('","citation_count":', o_custkey) else '","citation_count":"many"' end"""),
+        F.expr("""case o_orderkey % 3 when 0 then concat(',"authors":"', o_orderstatus, '"}') when 1 then concat(',"authors":["', o_orderstatus, '"]}')
+            else concat(',"authors":"[\\\\"', o_orderstatus, '\\\\"]"}') end"""),
+    ).alias("value"))
+    path = v.scratch("odd")
+    lines.write.text(path)
+    return readers.read_source_b(v.spark, path).select(
+        "paper_id", "title", F.array_join("authors", "|").alias("authors"), "citation_count"
+    )
+
+
 @query(sql="""select cast(o_orderkey as varchar) as paper_id, concat('order ', o_orderpriority) as title,
     o_orderpriority as categories, 's2orc' as source, cast(o_custkey % 50 as int) as citation_count from orders""")
 def read_source_b(v):
@@ -167,7 +188,7 @@ def landing_date_range(v):
     return found.select("event_id", "category", "date")
 
 
-@query(sql="""select cast(doc_id as varchar) as paper_id, text as abstract, split_part(text, chr(10), 1) as title,
+@query(sql="""select cast(doc_id as varchar) as paper_id, trim(text, ' ') as abstract, trim(split_part(text, chr(10), 1), ' ') as title,
     lang || '|' || source as authors, '2024-01-' || lpad(cast(1 + doc_id % 28 as varchar), 2, '0') as submitted_date,
     case when doc_id % 3 = 0 then '' else concat('p/', cast(doc_id as varchar)) end as pdf_url from documents""")
 def normalise_preprints(v):
@@ -182,16 +203,8 @@ def normalise_preprints(v):
         "else 'pdf' end, 'href', concat('p/', cast(doc_id as string)))) as links",
         "source as entry_id", "lang as queried_category",
     )
-    out = normalise.normalise_a(raw, F.lit(NOW))
-    # The titles of the check are not trimmed, so the untrimmed ones are compared.
-    return out.join(
-        raw.select(ids.strip_version(F.col("short_id")).alias("paper_id"), F.col("title").alias("t"), F.col("summary")),
-        "paper_id",
-    ).filter(
-        (F.trim("t") == F.col("title")) & (F.trim("summary") == F.col("abstract"))
-    ).select(
-        "paper_id", F.col("summary").alias("abstract"), F.col("t").alias("title"),
-        F.array_join("authors", "|").alias("authors"), "submitted_date", "pdf_url",
+    return normalise.normalise_a(raw, F.lit(NOW)).select(
+        "paper_id", "abstract", "title", F.array_join("authors", "|").alias("authors"), "submitted_date", "pdf_url"
     )
 
 
@@ -339,16 +352,14 @@ def pair_author_names(v):
     return v.table("part").select("p_partkey", F.array_join(paired, "|").alias("names"))
 
 
-@query(sql="""select cast(doc_id as varchar) as paper_id, false as has_title_column_dropped, length(text) as body_length,
+@query(sql="""select cast(doc_id as varchar) as paper_id, lang as title, text as full_text,
     cast(doc_id as varchar) as corpusid from documents""")
 def split_fulltext(v):
     records = v.table("documents").selectExpr(
         "cast(doc_id as string) as paper_id", "lang as title", "text as full_text", "'' as doi", f"'{NOW}' as ingested_at"
     )
     meta, bodies = normalise.split_fulltext(records)
-    return meta.select("paper_id", (F.col("title").isNull()).alias("has_title_column_dropped")).join(
-        bodies.select("paper_id", F.length("full_text").alias("body_length"), "corpusid"), "paper_id"
-    )
+    return meta.select("paper_id", "title").join(bodies.select("paper_id", "full_text", "corpusid"), "paper_id")
 
 
 ID_SQL = """case when o_custkey % 3 = 0 then concat(cast(2000 + o_custkey % 100 as varchar), '.', cast(10000 + o_orderkey % 90000 as varchar))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corpuslens.operators import consolidate, search
 from corpuslens.streaming import incremental as inc
 from registry.core import query
-from registry.q_search import shown
+from registry.q_search import SHOWN_SQL, TWO_FIELDS, bm25_sql, shown
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
@@ -53,9 +53,7 @@ def stream_landing_files(v):
     )
 
 
-@query()
-def stream_index_refresh(v):
-    """Months touched by arriving papers are indexed again, then every benchmark passage is searched."""
+def _refreshed(v, stem: bool):
     table, index = v.scratch("papers"), v.scratch("index")
     v.texts.withColumn("ingest_year_month", F.coalesce(F.date_format("submitted_date", "yyyy"), F.lit("unknown"))).write.parquet(table)
 
@@ -63,5 +61,17 @@ def stream_index_refresh(v):
         return v.spark.read.parquet(table)
 
     stream = v.spark.readStream.schema(papers().schema).parquet(table)
-    inc.ingest(stream, v.scratch("checkpoint"), inc.refresh_index(papers, index)).awaitTermination()
-    return shown(search.search_index(v.spark, index, v.queries))
+    inc.ingest(stream, v.scratch("checkpoint"), inc.refresh_index(papers, index, stem)).awaitTermination()
+    return shown(search.search_index(v.spark, index, v.queries, stem=stem))
+
+
+@query()
+def stream_index_refresh(v):
+    """Months touched by arriving papers are indexed again, then every benchmark passage is searched."""
+    return _refreshed(v, True)
+
+
+@query("texts", "queries", sql=f"{bm25_sql(TWO_FIELDS)} {SHOWN_SQL}")
+def stream_index_refresh_plain(v):
+    """The same with unstemmed words."""
+    return _refreshed(v, False)

@@ -125,3 +125,13 @@ def normalise_entities(v):
 def prioritise_sections(v):
     text = entities.prioritise_sections(F.col("sections"), F.col("full_text"), headings=("the", "le"))
     return v.fulltext.select("paper_id", text.alias("text"))
+
+
+_MARKED = "replace(replace(text, 'en', 'e' || chr(769)), 'on', 'n' || chr(771))"
+
+
+@query(sql=f"select doc_id, {clean_sql(_MARKED, True)} as clean from documents")
+def clean_decomposed(v):
+    """Letters written with combining marks come out composed, whatever the text held before."""
+    marked = F.replace(F.replace("text", F.lit("en"), F.lit("e\u0301")), F.lit("on"), F.lit("n\u0303"))
+    return v.table("documents").select("doc_id", tx.clean(marked).alias("clean"))

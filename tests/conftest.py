@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -17,7 +18,8 @@ def spark():
     builder = SparkSession.builder.master("local[8]").appName("tests").config("spark.ui.enabled", "false").config(
         "spark.ui.showConsoleProgress", "false"
     )
-    for key, value in {**SESSION_CONF, "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"}.items():
+    for key, value in {**SESSION_CONF, "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
+                       "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tests-")}.items():
         builder = builder.config(key, value)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from collections import Counter
 from pathlib import Path
@@ -71,7 +72,8 @@ def main() -> None:
     builder = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").config(
         "spark.ui.showConsoleProgress", "false"
     )
-    for key, value in {**SESSION_CONF, "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"}.items():
+    for key, value in {**SESSION_CONF, "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
+                       "spark.checkpoint.dir": tempfile.mkdtemp(prefix="oracle-")}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("OFF")

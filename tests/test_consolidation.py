@@ -128,7 +128,7 @@ def test_shard_cap(spark, tmp_path):
 
 def test_writing_no_documents(spark, tmp_path):
     df = spark.createDataFrame([], "paper_id string")
-    assert writers.write_docs(df, str(tmp_path / "d")) == {"total_read": 0}
+    assert writers.write_docs(df, str(tmp_path / "d")) == {"total_read": 0, "total_written": 0}
 
 
 def test_vectors_of_changed_texts_are_encoded_again(spark, tmp_path):
