@@ -26,7 +26,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Encoder:
     """Ids of pre-tokens, remembered for the pre-tokens met lately."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, remembered: int = 1 << 18):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, remembered: int = 1 << 17):
         import tiktoken
 
         self.pattern, self.remembered, self.known = regex.compile(pattern), remembered, {}
@@ -114,8 +114,8 @@ def encode(
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value, pattern)
         for b in batches:
-            for start in range(0, b.num_rows, 512):
-                part = b.slice(start, 512)
+            for start in range(0, b.num_rows, 256):
+                part = b.slice(start, 256)
                 ids = [encoder.encode(t or "") for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, _lists(ids)], [*part.schema.names, "tokens"])
 
