@@ -15,7 +15,7 @@ from corpuslens.session import cut_lineage
 
 #: Hashed n-grams. The model is two arrays of this length at every size of the corpus.
 FEATURES = 1 << 20
-SIZES = (3, 4, 5)
+SIZES = (3, 4, 5, 6, 7)
 FOLDS = 5
 
 
@@ -94,13 +94,13 @@ def fit_logistic(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, ridge
 
 
 def train(
-    documents: DataFrame, labels: DataFrame, per_class: int = 6000, least_ratio: float = 1.5, ridge: float = 1e-3, steps: int = 80,
+    documents: DataFrame, labels: DataFrame, per_class: int = 6000, least_ratio: float = 1.5, ridge: float = 1e-2, steps: int = 80,
 ) -> tuple[np.ndarray, float]:
     """Weight of each hashed n-gram, and the intercept.
 
     The classifier is fitted on a sample of at most `per_class` labelled documents of each class (a fixed bound). Counts
     of documents per n-gram and class are summed in Spark and give the log-count ratios; n-grams with a ratio
-    under `least_ratio` weigh nothing. One task fits the bounded rest. Without both classes every score is 0.5 and below.
+    under `least_ratio` weigh nothing, so that a long clean part can't outweigh what is toxic. One task fits the bounded rest. Without both classes every score is 0.5 and below.
     """
     sample = cut_lineage(labelled_sample(documents, labels, per_class))
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
@@ -122,7 +122,7 @@ def train(
     p[counted["i"]] += counted["toxic"]
     q[counted["i"]] += counted["clean"]
     ratio = np.log((p / (sizes[1] + 2)) / (q / (sizes[0] + 2)))
-    ratio[(np.abs(ratio) < least_ratio) | (p + q < 5)] = 0
+    ratio[(ratio < least_ratio) | (p + q < 4)] = 0
     shared = sample.sparkSession.sparkContext.broadcast(ratio.astype(np.float32))
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
