@@ -56,15 +56,18 @@ class Grams:
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
-    """(doc_id, text, toxic) of at most `per_class` learning documents of each class, in the order of a hash of the id.
+    """(doc_id, text, toxic) of about `per_class` learning documents of each class, or of all if there are fewer. A hash of
+    the id decides, row by row, so no task and not the driver ever ranks all labels.
 
     Rows of `labels` with a null are no labels; an id labelled both ways is toxic. Of rows with the same id one is taken.
     """
     known = labels.filter("doc_id is not null and toxic is not null").filter(fold(F.col("doc_id"), FOLDS) != 0).groupBy(
         "doc_id"
     ).agg(F.max("toxic").alias("toxic"))
-    chosen = [known.filter(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for k in (0, 1)]
-    ids = cut_lineage(chosen[0].union(chosen[1]))
+    sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
+    share = [int((1 << 20) * min(1.0, per_class / sizes.get(k, 1))) for k in (0, 1)]
+    ids = cut_lineage(known.filter(F.col("toxic").isin(0, 1) & (draw < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))))
     return documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id").groupBy("doc_id", "toxic").agg(
         F.min_by("text", F.xxhash64("text")).alias("text")
     )
@@ -98,7 +101,7 @@ def train(
 ) -> tuple[np.ndarray, float]:
     """Weight of each hashed n-gram, and the intercept.
 
-    The classifier is fitted on a sample of at most `per_class` labelled documents of each class (a fixed bound). Counts
+    The classifier is fitted on a sample of about `per_class` labelled documents of each class (a fixed bound). Counts
     of documents per n-gram and class are summed in Spark and give the log-count ratios; n-grams with a ratio
     under `least_ratio` weigh nothing, so that a long clean part can't outweigh what is toxic. One task fits the bounded rest. Without both classes every score is 0.5 and below.
     """
@@ -115,15 +118,14 @@ def train(
         i = np.nonzero(sums.any(axis=0))[0]
         yield pd.DataFrame({"i": i, "clean": sums[0][i], "toxic": sums[1][i]})
 
+    leaning = F.log((F.sum("toxic") + 1) / (sizes[1] + 2) / ((F.sum("clean") + 1) / (sizes[0] + 2)))
     counted = sample.mapInPandas(count, "i int, clean long, toxic long").groupBy("i").agg(
-        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")
-    ).toPandas()  # FEATURES rows at most
-    p, q = np.ones(FEATURES), np.ones(FEATURES)
-    p[counted["i"]] += counted["toxic"]
-    q[counted["i"]] += counted["clean"]
-    ratio = np.log((p / (sizes[1] + 2)) / (q / (sizes[0] + 2)))
-    ratio[(ratio < least_ratio) | (p + q < 4)] = 0
-    shared = sample.sparkSession.sparkContext.broadcast(ratio.astype(np.float32))
+        leaning.alias("ratio"), F.sum(F.col("clean") + F.col("toxic")).alias("n")
+    ).filter((F.col("ratio") >= least_ratio) & (F.col("n") >= 2)).select("i", "ratio").collect()  # FEATURES rows at most
+    ratio = np.zeros(FEATURES, np.float32)
+    for r in counted:
+        ratio[r["i"]] = r["ratio"]
+    shared = sample.sparkSession.sparkContext.broadcast(ratio)
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         grams, ratio = Grams(), shared.value
@@ -140,11 +142,12 @@ def train(
     bounded = sample.mapInPandas(features, "doc_id long, toxic int, ids array<int>").withColumn("all", F.lit(0))
     model = bounded.groupBy("all").applyInPandas(
         fit, "i int, w double"
-    ).toPandas()
+    ).collect()  # as many rows as n-grams have a ratio, and the intercept
     weights = np.zeros(FEATURES, np.float32)
-    inner = model[model["i"] >= 0]
-    weights[inner["i"]] = inner["w"]
-    return weights, float(model.loc[model["i"] < 0, "w"].iloc[0])
+    for r in model:
+        if r["i"] >= 0:
+            weights[r["i"]] = r["w"]
+    return weights, next(r["w"] for r in model if r["i"] < 0)
 
 
 def score(documents: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
