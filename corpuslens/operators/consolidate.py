@@ -84,7 +84,7 @@ def dedup_edges(edges: DataFrame) -> DataFrame:
     return edges.groupBy("citing_id", "cited_id").agg(F.min("source").alias("source"))
 
 
-def _first_row(df: DataFrame, key: str, *order: Column) -> DataFrame:
+def first_row(df: DataFrame, key: str, *order: Column) -> DataFrame:
     """First row of each key. Spark limits each task to one row per key before the shuffle, so a key
     with very many copies stays cheap."""
     place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
@@ -92,7 +92,7 @@ def _first_row(df: DataFrame, key: str, *order: Column) -> DataFrame:
 
 
 def one_per_paper(df: DataFrame, *order: Column) -> DataFrame:
-    return _first_row(df, "paper_id", *order)
+    return first_row(df, "paper_id", *order)
 
 
 def dedup_by_source(
@@ -100,12 +100,12 @@ def dedup_by_source(
 ) -> DataFrame:
     """One record per paper: the most trusted source, and its first record by `sequence`."""
     kept = df.filter(ids.valid_key(F.col("paper_id")))
-    return _first_row(kept, "paper_id", _rank(F.col("source"), sources), sequence)
+    return first_row(kept, "paper_id", _rank(F.col("source"), sources), sequence)
 
 
 def longest_fulltext(fulltext: DataFrame) -> DataFrame:
     """The longest body of each paper; then the latest, then the smallest digest."""
-    return _first_row(
+    return first_row(
         fulltext.filter(ids.valid_key(F.col("paper_id"))),
         "paper_id",
         F.length("full_text").desc(), F.col("ingested_at").desc(), F.md5("full_text"),

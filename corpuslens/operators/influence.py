@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuslens.functions import fixed_values as fixed
 from corpuslens.functions import identifiers as ids
-from corpuslens.session import bucketed, cut_lineage
+from corpuslens.session import bucketed, cut_lineage, discard, working_path
 
 
 def guarded_range(low: Column, high: Column) -> Column:
@@ -77,46 +77,50 @@ def pagerank(
 
     Each round joins ranks to links and sums by target, which combines before the shuffle. The links
     of a source with more than `links_per_bucket` of them are spread over several buckets, and only
-    its rank is repeated once per bucket; such sources are few by definition. Links are written once
-    as a bucketed table in that layout, so a round shuffles ranks only. The rank of nodes without links goes to all
-    nodes alike. Every round reads the ranks twice, so they are checkpointed in the shared folder
-    after each; a lost executor costs one round.
+    its rank is repeated once per bucket; such sources are few by definition. Links and nodes are written
+    once as bucketed tables, so a round shuffles ranks and sums only. The rank of nodes without links goes
+    to all nodes alike. Every round reads the ranks twice, so they are written to the shared folder after
+    each; a lost executor costs one round. Only the last ranks stay there.
     """
-    links = cut_lineage(links)
+    spark = nodes.sparkSession
+    shared = working_path(spark, "links")
+    links = cut_lineage(links, shared)
     degree = links.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
     n_buckets = F.ceil(F.col("degree") / links_per_bucket).cast("int")
     busy = degree.filter(F.col("degree") > links_per_bucket).select("src", n_buckets.alias("buckets"))
-    spread = bucketed(
-        links.join(busy, "src", "left").select(
-            "src", "dst",
-            F.coalesce(F.pmod(F.xxhash64("dst"), F.col("buckets")), F.lit(0)).cast("int").alias("bucket"),
-        ),
-        "src", "bucket",
+    by_source = links.join(busy, "src", "left").select(
+        "src", "dst",
+        F.coalesce(F.pmod(F.xxhash64("dst"), F.col("buckets")), F.lit(0)).cast("int").alias("bucket"),
     )
-    base = cut_lineage(
+    all_nodes = (
         nodes.select("id").distinct().join(degree, F.col("id") == F.col("src"), "left")
         .select("id", F.coalesce("degree", F.lit(0)).alias("degree"))
     )
-    total = F.lit(float(base.count()))
-    ranks = base.withColumn("rank", F.lit(1.0))
-    for step in range(1, iterations + 1):
-        giving = ranks.filter("degree > 0").select(
-            F.col("id").alias("src"), (F.col("rank") / F.col("degree")).alias("part"),
-            F.explode(F.sequence(F.lit(0), n_buckets - 1)).alias("bucket"),
-        )
-        received = (
-            spread.join(giving, ["src", "bucket"])
-            .groupBy(F.col("dst").alias("id")).agg(F.sum("part").alias("received"))
-        )
-        idle = ranks.agg(F.sum(F.when(F.col("degree") == 0, F.col("rank"))).alias("idle")).scalar()
-        ranks = base.join(received, "id", "left").select(
-            "id", "degree",
-            (
-                F.lit(reset)
-                + F.lit(1 - reset)
-                * (F.coalesce("received", F.lit(0.0)) + F.coalesce(idle, F.lit(0.0)) / total)
-            ).alias("rank"),
-        )
-        if step < iterations:
+    with bucketed(by_source, "src", "bucket") as spread, bucketed(all_nodes, "id") as base:
+        total = F.lit(float(base.count()))
+        ranks, previous = base.withColumn("rank", F.lit(1.0)), shared
+        for _ in range(iterations):
+            giving = ranks.filter("degree > 0").select(
+                F.col("id").alias("src"), (F.col("rank") / F.col("degree")).alias("part"),
+                F.explode(F.sequence(F.lit(0), n_buckets - 1)).alias("bucket"),
+            )
+            received = (
+                spread.join(giving, ["src", "bucket"])
+                .groupBy(F.col("dst").alias("id")).agg(F.sum("part").alias("received"))
+            )
+            idle = ranks.agg(F.sum(F.when(F.col("degree") == 0, F.col("rank"))).alias("idle")).scalar()
+            fresh = base.join(received, "id", "left").select(
+                "id", "degree",
+                (
+                    F.lit(reset)
+                    + F.lit(1 - reset)
+                    * (F.coalesce("received", F.lit(0.0)) + F.coalesce(idle, F.lit(0.0)) / total)
+                ).alias("rank"),
+            )
+            path = working_path(spark, "ranks")
+            ranks = cut_lineage(fresh, path)
+            discard(spark, previous)
+            previous = path
+        if not iterations:
             ranks = cut_lineage(ranks)
     return ranks.select(F.col("id").alias("paper_id"), F.col("rank").alias("pagerank"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corpuslens.operators import consolidate, influence
 from corpuslens.operators import trends as tr
+from corpuslens.session import cut_lineage, discard, working_path
 from corpuslens.sources import readers, writers
 
 
@@ -20,9 +21,11 @@ def build_trends(papers: DataFrame, scores: DataFrame, edges: DataFrame | None)
 def run(spark: SparkSession, landing: str, database: str) -> None:
     """Merge the sources, add topics and entities where they landed, then scores and trends.
 
-    Each table is written once and read back by the step after it, so a lost executor costs one step.
+    Each table is written once and read back by the step after it, so a lost executor costs one step. The corpus
+    folder, which feeds three tables, is parsed once and then read by columns.
     """
-    raw_b = readers.read_raw_b(spark, f"{landing}/s2orc")
+    parsed = working_path(spark, "corpus")
+    raw_b = cut_lineage(readers.read_raw_b(spark, f"{landing}/s2orc"), parsed)
     papers = build_papers(
         readers.read_source_a(spark, f"{landing}/arxiv"),
         readers.unify_b(raw_b),
@@ -42,6 +45,7 @@ def run(spark: SparkSession, landing: str, database: str) -> None:
     writers.write_flat(
         consolidate.longest_fulltext(readers.unify_fulltext(raw_b)), f"{database}.paper_fulltext"
     )
+    discard(spark, parsed)
     stored = spark.table(f"{database}.papers")
     writers.write_flat(influence.influence_scores(stored), f"{database}.pagerank_scores")
     writers.write_flat(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,25 +48,30 @@ def discard(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write `df` to the shared folder and read it from there.
 
     The data survives the loss of any executor, later steps read only the columns they need, and
-    Spark knows its true size when it chooses joins.
+    Spark knows its true size when it chooses joins. A caller that names the `path` can `discard` it.
     """
-    path = working_path(df.sparkSession, "cut")
+    path = path or working_path(df.sparkSession, "cut")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, *keys: str) -> DataFrame:
-    """Write `df` to the shared folder in buckets, so that joins on `keys` need not shuffle it.
+@contextmanager
+def bucketed(df: DataFrame, *keys: str) -> Iterator[DataFrame]:
+    """`df` written to the shared folder in buckets, so that joins on `keys` need not shuffle it.
 
-    The table is external and its name lasts for the session.
+    The table and its files last as long as the block.
     """
     spark = df.sparkSession
     path = working_path(spark, "buckets")
     name = "buckets_" + uuid.uuid4().hex
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
-    return spark.table(name)
+    try:
+        df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        discard(spark, path)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from corpuslens.functions import identifiers as ids
-from corpuslens.operators import search
+from corpuslens.operators import consolidate, search
 
 
 def stream_json(spark: SparkSession, path: str, schema: str, files_per_batch: int = 1000) -> DataFrame:
@@ -23,12 +23,9 @@ def stream_parquet(spark: SparkSession, folder: str, files: str, schema: str) ->
     return spark.readStream.schema(schema).option("pathGlobFilter", files).parquet(folder)
 
 
-def fresh_records(stream: DataFrame, at: str = "ingested_at", key: str = "paper_id", lateness: str = "3 days") -> DataFrame:
-    """First record of each key; keys are forgotten once they are older than `lateness`."""
-    return (
-        stream.withColumn(at, F.to_timestamp(at)).filter(ids.valid_key(F.col(key)))
-        .withWatermark(at, lateness).dropDuplicatesWithinWatermark([key])
-    )
+def usable_records(stream: DataFrame, at: str = "ingested_at", key: str = "paper_id") -> DataFrame:
+    """Records with a valid key; an unreadable time is NULL and costs its own value only."""
+    return stream.withColumn(at, F.col(at).try_cast("timestamp")).filter(ids.valid_key(F.col(key)))
 
 
 def ingest(
@@ -54,6 +51,23 @@ def append_batches(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def store_new(path: str, at: str = "ingested_at", key: str = "paper_id") -> Callable[[DataFrame, int], None]:
+    """Sink that keeps the earliest record of each key in a batch, unless an earlier batch has stored the key.
+
+    What is stored decides, not a watermark, so a backfill of any age is taken in and no key is forgotten. Only
+    the keys of earlier batches are read. A repeated batch replaces its own folder; records without a time come last.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = consolidate.first_row(batch, key, F.col(at).asc_nulls_last(), F.xxhash64(*batch.columns))
+        if batch_id > 0:
+            stored = batch.sparkSession.read.schema(f"`{key}` string, batch long").option("basePath", path).parquet(path)
+            rows = rows.join(stored.filter(F.col("batch") < batch_id).select(key), key, "left_anti")
+        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return write
+
+
 def daily_counts(stream: DataFrame, at: str = "ts", *keys: str, lateness: str = "2 days") -> DataFrame:
     """Running counts per day and key; a day is closed once the watermark has passed it."""
     day = F.window(at, "1 day")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpuslens.operators import consolidate, search
+from corpuslens.operators import search
 from corpuslens.streaming import incremental as inc
 from registry.core import query
 from registry.q_search import SHOWN_SQL, TWO_FIELDS, bm25_sql, shown
@@ -30,8 +30,7 @@ def stream_daily_counts(v):
 def stream_fresh_records(v):
     out = v.scratch("fresh")
     rows = events(v).select(F.col("user_id").cast("string").alias("paper_id"), F.col("ts").alias("ingested_at"))
-    fresh = inc.fresh_records(rows)
-    inc.ingest(fresh, v.scratch("checkpoint"), inc.append_batches(out)).awaitTermination()
+    inc.ingest(inc.usable_records(rows), v.scratch("checkpoint"), inc.store_new(out)).awaitTermination()
     return v.spark.read.parquet(out).select("paper_id")
 
 
@@ -46,13 +45,26 @@ def stream_landing_files(v):
     stream = inc.stream_json(
         v.spark, landing, "paper_id string, text string, lang string, ingested_at string", files_per_batch=2
     )
-    inc.ingest(inc.fresh_records(stream), v.scratch("checkpoint"), inc.append_batches(out)).awaitTermination()
-    rows = v.spark.read.option("basePath", out).parquet(out)
-    return consolidate.one_per_paper(rows, F.col("ingested_at")).select(
+    inc.ingest(inc.usable_records(stream), v.scratch("checkpoint"), inc.store_new(out)).awaitTermination()
+    return v.spark.read.parquet(out).select(
         "paper_id", F.length("text").alias("chars"), F.col("lang").alias("primary_category")
     )
 
 
+@query(sql="""select cast(doc_id as varchar) as paper_id, case when doc_id % 3 = 0 then 2024 else 2019 end as year, lang
+    from documents""")
+def stream_backfill(v):
+    """Years after the newest records arrived, a backfill brings old ones, and some keys once more."""
+    landing, out, checkpoint = v.scratch("landing"), v.scratch("merged"), v.scratch("checkpoint")
+    docs = v.table("documents").select(F.col("doc_id").cast("string").alias("paper_id"), "lang", "doc_id")
+    schema = "paper_id string, lang string, ingested_at string"
+    for part, year in ((docs.filter("doc_id % 3 = 0"), 2024), (docs, 2019)):
+        part.select("paper_id", "lang", F.lit(f"{year}-05-01 00:00:00").alias("ingested_at")).write.mode("append").json(landing)
+        stream = inc.usable_records(inc.stream_json(v.spark, landing, schema))
+        inc.ingest(stream, checkpoint, inc.store_new(out)).awaitTermination()
+    return v.spark.read.parquet(out).select("paper_id", F.year("ingested_at").alias("year"), "lang")
+
+
 def _refreshed(v, stem: bool):
     table, index = v.scratch("papers"), v.scratch("index")
     v.texts.withColumn("ingest_year_month", F.coalesce(F.date_format("submitted_date", "yyyy"), F.lit("unknown"))).write.parquet(table)

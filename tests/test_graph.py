@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pathlib
 import random
 
 import numpy as np
@@ -7,6 +8,7 @@ import pytest
 
 from corpuslens.functions import fixed_values as fixed
 from corpuslens.operators import citations, influence
+from corpuslens.session import shared_dir
 
 EDGES = "citing_id string, cited_id string, source string"
 
@@ -38,6 +40,17 @@ def test_pagerank_equals_matrix_iteration(spark, links_per_bucket):
         rank = 0.15 + 0.85 * (m @ rank + (idle * rank).sum() / n)
     assert np.allclose([r.pagerank for r in sorted(got, key=lambda r: int(r.paper_id))], rank)
     assert np.isclose(rank.sum(), n)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("buckets_")]
+
+
+def test_pagerank_keeps_only_the_last_ranks(spark):
+    folder = pathlib.Path(shared_dir(spark).removeprefix("file:")) / "corpuslens"
+    before = set(folder.glob("*"))
+    nodes = spark.createDataFrame([("a",), ("b",)], "id string")
+    links = spark.createDataFrame([("a", "b")], "src string, dst string")
+    got = influence.pagerank(nodes, links, iterations=3)
+    assert [p.name.split("-")[0] for p in set(folder.glob("*")) - before] == ["ranks"]
+    assert got.count() == 2
 
 
 def test_alternate_ids(spark):
