@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corpuslens.functions import fixed_values as fixed
 from corpuslens.functions import text as tx
 from corpuslens.functions.stem import porter_stem
+from corpuslens.session import cut_lineage
 
 TEXT, KEYWORD = "text", "keyword"
 PAPER_FIELDS = {"title": 3.0, "abstract": 1.0}
@@ -187,6 +188,8 @@ def search(
     analysed = analyse(docs, key, list(boosts), keywords)
     asked = query_terms(queries, stem).withColumn("kind", F.lit(TEXT))
     if stem or fuzzy:
+        # The vocabulary, the totals and the counts all read the terms; so the texts are analysed once.
+        analysed = cut_lineage(analysed)
         words = vocabulary(analysed, stem)
         if fuzzy:
             near = expand_fuzzy(words, asked)
