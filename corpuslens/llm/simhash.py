@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from corpuslens.llm.common import table
 from corpuslens.llm.components import connected
+from corpuslens.llm.minhash import near_copies
 from corpuslens.session import cut_lineage
 
 BITS = 64
@@ -239,8 +240,9 @@ def near_duplicates(documents: DataFrame, distance: int = 4, leaf_rows: int = 40
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
-    """One row of each component, whole: that with the smallest id (a null last), then the smallest text key."""
-    groups = cut_lineage(near_duplicates(documents))
+    """One row of each group of near copies (5-word similarity of 0.8 or more), whole: that with the smallest id (a null
+    last), then the smallest text key. The four words and four bits of `near_duplicates` are op1's alone."""
+    groups = cut_lineage(near_copies(documents))
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_key"))
     chosen = groups.groupBy("root").agg(F.min(order).alias("k")).select(
         F.col("k.doc_id").alias("_id"), F.col("k.text_key").alias("_key")
