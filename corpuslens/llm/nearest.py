@@ -15,14 +15,14 @@ from corpuslens.llm.common import table
 class Tables:
     """`tables` hash tables of `size` Gaussian projections each, in cells of `width`.
 
-    Vectors get one more component that lifts all to the same length, so that the nearest in the plain
+    Vectors get one more component that lifts all to the length `longest`, so that the nearest in the plain
     distance have the largest inner product. A query probes `probes` cells of each table in the order of their estimated
     success: the sum of squared distances to the sides that lie between.
     """
 
-    def __init__(self, dimension: int, longest: float, tables: int, size: int, width: float, probes: int, seed: int = 7):
+    def __init__(self, dimension: int, tables: int, size: int, width: float, probes: int, seed: int = 7):
         rng = np.random.default_rng(seed)
-        self.longest, self.width, self.probes = longest, width, probes
+        self.width, self.probes = width, probes
         self.lines = rng.standard_normal((tables, dimension + 1, size))
         self.shift = rng.uniform(0, width, (tables, 1, size))
         self.moves = np.array(list(itertools.product((-1, 0, 1), repeat=size)), np.int64)
@@ -35,19 +35,19 @@ class Tables:
         with np.errstate(over="ignore"):
             return (cells * self.code).sum(axis=-1)
 
-    def buckets(self, vectors: np.ndarray) -> np.ndarray:
-        short = vectors / self.longest
+    def buckets(self, vectors: np.ndarray, longest: float) -> np.ndarray:
+        short = vectors / longest
         lift = np.sqrt(np.maximum(0, 1 - (short**2).sum(axis=1, keepdims=True)))
         return self._code(np.floor(self._cells(np.hstack([short, lift]))).astype(np.int64))
 
-    def probed(self, queries: np.ndarray) -> np.ndarray:
-        """Buckets by table, query and order of success."""
+    def probed(self, queries: np.ndarray, probes: int | None = None) -> np.ndarray:
+        """Buckets by table, query and order of success, the first `probes` of them."""
         unit = queries / np.sqrt((queries**2).sum(axis=1, keepdims=True))
         at = self._cells(np.hstack([unit, np.zeros((len(unit), 1))]))
         cell = np.floor(at)
         inside = at - cell
         down, up = inside**2 @ (self.moves == -1).T, (1 - inside) ** 2 @ (self.moves == 1).T
-        best = np.argsort(down + up, axis=-1, kind="stable")[..., : self.probes]
+        best = np.argsort(down + up, axis=-1, kind="stable")[..., : probes or self.probes]
         return self._code(cell.astype(np.int64)[..., None, :] + self.moves[best])
 
 
@@ -55,23 +55,62 @@ def _matrix(values: pd.Series) -> np.ndarray:
     return np.stack(values.to_numpy()).astype(np.float64)
 
 
+def norm_ranges(vectors: np.ndarray, ratio: float = 1.25) -> list[tuple[np.ndarray, float]]:
+    """Rows whose lengths are within `ratio`, with the longest length of each range. A range is hashed and lifted alone, so
+    that a long vector doesn't move the others to one point."""
+    length = np.sqrt((vectors**2).sum(axis=1))
+    level = np.floor(np.log(length.max() / length) / np.log(ratio))
+    return [(rows, float(length[rows].max())) for rows in (np.nonzero(level == x)[0] for x in np.unique(level))]
+
+
 def search_slice(
     hashing: Tables, ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, block: int = 64,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The k best candidates of each query among `vectors`: query, id, inner product. Ties go to smaller ids."""
+    """The k best candidates of each query among `vectors`: query, id, inner product. Ties go to smaller ids.
+
+    Each norm range gives at least k candidates, or all its rows if it has no more: where the first probes reach
+    fewer, probing goes on in the same order, and takes all rows when the cells are used up.
+    """
     order = np.argsort(ids, kind="stable")
     ids, vectors = ids[order], vectors[order]
-    tables = [np.unique(b, return_inverse=True) for b in hashing.buckets(vectors)]
+    ranges = [
+        (rows, [np.unique(b, return_inverse=True) for b in hashing.buckets(vectors[rows], longest)] if len(rows) > k else None)
+        for rows, longest in (norm_ranges(vectors) if len(ids) else [])
+    ]
+    cells = len(hashing.moves)
+
+    def reached(tables: list, probes: np.ndarray, n: int) -> np.ndarray:
+        """Rows of a range, by query, in the probed buckets."""
+        seen = np.zeros((probes.shape[1], n), bool)
+        for (known, member), probe in zip(tables, probes, strict=True):
+            place = np.minimum(np.searchsorted(known, probe), len(known) - 1)
+            hit = np.zeros((len(probe), len(known)), bool)
+            row, col = np.nonzero(known[place] == probe)
+            hit[row, place[row, col]] = True
+            seen |= hit[:, member]
+        return seen
+
     out: list[tuple] = []
     for start in range(0, len(queries), block):
         q = queries[start : start + block]
+        own_ids = query_ids[start : start + block]
         seen = np.zeros((len(q), len(ids)), bool)
-        for (known, member), probes in zip(tables, hashing.probed(q), strict=True):
-            place = np.minimum(np.searchsorted(known, probes), len(known) - 1)
-            hit = np.zeros((len(q), len(known)), bool)
-            row, col = np.nonzero(known[place] == probes)
-            hit[row, place[row, col]] = True
-            seen |= hit[:, member]
+        first = hashing.probed(q)
+        for rows, tables in ranges:
+            if tables is None:
+                seen[:, rows] = True
+                continue
+            part = reached(tables, first, len(rows))
+            other = ids[rows] != own_ids[:, None]
+            done = hashing.probes
+            while len(short := np.nonzero((part & other).sum(axis=1) < k)[0]):
+                if done >= cells:
+                    part[short] = True
+                    break
+                following = hashing.probed(q[short], min(cells, 2 * done))[..., done:]
+                part[short] |= reached(tables, following, len(rows))
+                done = min(cells, 2 * done)
+            seen[:, rows] = part
         for i, query in enumerate(q):
             own = query_ids[start + i]
             near = np.nonzero(seen[i])[0]
@@ -108,12 +147,12 @@ def nearest(
     ids count as rows of their own, except that a query never finds its own id. Empty inputs give no rows.
     """
     shape = vectors.groupBy(F.size("v").alias("d")).agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)).alias("m")
+        F.count(F.lit(1)).alias("n")
     ).orderBy(F.desc("n"), F.desc("d")).first()
     result = "query_id long, vec_id long, score double"
     if shape is None:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    hashing = (shape["d"], float(np.sqrt(shape["m"])), tables, size, width, probes)
+    hashing = (shape["d"], tables, size, width, probes)
     vectors, queries = vectors.filter(F.size("v") == shape["d"]), queries.filter(F.size("v") == shape["d"])
     slices = max(1, -(-shape["n"] // slice_rows))
     blocks = max(1, -(-queries.count() // query_rows))
