@@ -20,12 +20,16 @@ SKIPPED = frozenset(
     "nav footer aside form script style noscript template iframe svg math canvas button select option textarea input "
     "object embed audio video dialog menu head title".split()
 )
-#: Words of a class or id that mark such content.
+#: Whole names in a class or id that mark such content, alone or with a word for its place or kind. Other compounds, such as
+#: has-sidebar or with-ads, tell of an element's surroundings.
 SKIPPED_NAMES = re.compile(
-    r"(?:^|[-_ ])(?:ads?|adverts?|advertisement|sponsor(?:ed)?|promo|banner|sidebar|side-bar|menu|nav|navbar|navigation|"
+    r"(?:^|\s)(?:(?:site|main|top|bottom|global)[-_])?(?:ads?|adverts?|advertisement|sponsor(?:ed)?|promo|banner|sidebar|side-bar|menu|nav|navbar|navigation|"
     r"breadcrumbs?|footer|masthead|site-header|page-header|header|comments?|disqus|respond|replies|notice|cookies?|consent|gdpr|popup|modal|"
-    r"newsletter|subscribe|share|sharing|social|related|recommended|pagination|pager|skip-link|toolbar|widget)(?:$|[-_ ])", re.I,
+    r"newsletter|subscribe|share|sharing|social|related|recommended|pagination|pager|skip-link|toolbar|widget)"
+    r"(?:[-_](?:area|block|box|list|section|slot))?[-_\d]*(?=\s|$)", re.I,
 )
+#: Elements that hold the page's content, whatever their class or id says about its surroundings.
+HOLDERS = frozenset("html body main article".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike "
@@ -47,20 +51,18 @@ TOKEN = re.compile(
 NAMES = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 
 
-def _step(tag: str, attributes: str) -> tuple[str, bool]:
-    """Generalised path step, as tag and sorted classes without their numbers, and whether the content is left out."""
+def _step(tag: str, attributes: str, by_name: bool = True) -> tuple[str, bool]:
+    """Generalised path step, as tag and sorted classes without their numbers, and whether the content is left out; by the
+    words of its class and id too, if `by_name`."""
     named = {k.lower(): v.strip("\"'") for k, v in NAMES.findall(attributes)} if attributes else {}
     classes = sorted({re.sub(r"\d+", "", c) for c in named.get("class", "").split()} - {""})
     words = f"{named.get('class', '')} {named.get('id', '')}"
-    skipped = tag in SKIPPED or bool(SKIPPED_NAMES.search(words)) or named.get("role", "").lower() in ("navigation", "banner", "contentinfo", "complementary")
+    marked = by_name and tag not in HOLDERS and bool(SKIPPED_NAMES.search(words))
+    skipped = tag in SKIPPED or marked or named.get("role", "").lower() in ("navigation", "banner", "contentinfo", "complementary")
     return ".".join([tag, *classes]), skipped
 
 
-def read_blocks(page: str) -> list[tuple[tuple[str, ...], tuple[int, ...], str, int]]:
-    """Blocks of text in page order: path, the numbers of the elements on it, text, and characters inside links.
-
-    Skipped content is left out, tolerant of missing end tags; references are decoded and white space is folded.
-    """
+def _blocks(page: str, by_name: bool) -> list[tuple[tuple[str, ...], tuple[int, ...], str, int]]:
     blocks, stack, text = [], [], []  # stack: (tag, step, number, skipped)
     linked = skipping = number = at = 0
 
@@ -114,7 +116,7 @@ def read_blocks(page: str) -> list[tuple[tuple[str, ...], tuple[int, ...], str,
                     break
         if tag in VOID or m[4].rstrip().endswith("/"):
             continue
-        step, skipped = _step(tag, m[4])
+        step, skipped = _step(tag, m[4], by_name)
         if tag == "header" and not any(s[0] in ("article", "main") for s in stack):
             skipped = True
         number += 1
@@ -125,6 +127,15 @@ def read_blocks(page: str) -> list[tuple[tuple[str, ...], tuple[int, ...], str,
     return blocks
 
 
+def read_blocks(page: str) -> list[tuple[tuple[str, ...], tuple[int, ...], str, int]]:
+    """Blocks of text in page order: path, the numbers of the elements on it, text, and characters inside links.
+
+    Skipped content is left out, tolerant of missing end tags; references are decoded and white space is folded. A page
+    that has no text left is read again without the rules on classes and ids.
+    """
+    return _blocks(page, True) or _blocks(page, False)
+
+
 def score_containers(blocks: list[tuple[tuple[str, ...], tuple[int, ...], str, int]]) -> dict[tuple[int, ...], tuple[str, float]]:
     """Score of each container on the page, by the numbers down to it: (path, score).
 
