@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from corpuslens.llm import (
-    binary_output, byte_bpe, html_text, length_buckets, maxent, nearest, quality, simhash, toxicity, url_filter,
+    binary_output, byte_bpe, html_text, length_buckets, maxent, nearest, quality, simhash, substrings, toxicity,
+    url_filter,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nearest_vectors": nearest.op8_nearest_vectors,
     "op9_url_verdicts": url_filter.op9_url_verdicts,
     "op10_maxent_scores": maxent.op10_maxent_scores,
+    "op11_repeated_passages": substrings.op11_repeated_passages,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -29,4 +31,5 @@ ORACLE = {
     "op2_line_quality": quality.SQL,
     "op4_length_buckets": length_buckets.SQL,
     "op9_url_verdicts": url_filter.SQL,
+    "op11_repeated_passages": substrings.SQL,
 }
