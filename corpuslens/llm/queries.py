@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from corpuslens.llm import (
-    binary_output, byte_bpe, html_text, length_buckets, maxent, nearest, quality, simhash, substrings, toxicity,
+    binary_output, byte_bpe, dialogue, html_text, length_buckets, maxent, nearest, quality, simhash, substrings, toxicity,
     url_filter,
 )
 
@@ -24,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_verdicts": url_filter.op9_url_verdicts,
     "op10_maxent_scores": maxent.op10_maxent_scores,
     "op11_repeated_passages": substrings.op11_repeated_passages,
+    "op12_repaired_conversations": dialogue.op12_repaired_conversations,
     "pipeline": corpus_pipeline.run,
 }
 
