@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from corpuslens.llm import (
     binary_output, byte_bpe, dialogue, html_text, length_buckets, maxent, nearest, quality, simhash, substrings, toxicity,
-    url_filter,
+    url_filter, variants,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -25,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_maxent_scores": maxent.op10_maxent_scores,
     "op11_repeated_passages": substrings.op11_repeated_passages,
     "op12_repaired_conversations": dialogue.op12_repaired_conversations,
+    "op13_spelling_variants": variants.op13_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -33,4 +34,5 @@ ORACLE = {
     "op4_length_buckets": length_buckets.SQL,
     "op9_url_verdicts": url_filter.SQL,
     "op11_repeated_passages": substrings.SQL,
+    "op13_spelling_variants": variants.SQL,
 }
