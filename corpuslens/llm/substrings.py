@@ -15,6 +15,7 @@ group, which for 135 million words has odds of 1 to 100,000, and at 10^13 words
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -177,22 +178,37 @@ def split_prefixes(documents: DataFrame, window: int, group_leaves: int) -> tupl
 LEAVES = "bin int, known boolean, docs int, place binary, node binary"
 
 
-def _packed(block: Block, at: np.ndarray, node: np.ndarray | None) -> tuple[int, bytes, bytes]:
-    """Documents and ascending places of some leaves in few bytes, and the nodes they hang from."""
-    slot = np.searchsorted(block.base, at, side="right") - 1
-    used = np.unique(slot)
-    steps_ = np.diff(at, prepend=0).astype(np.uint32)
-    data = b"".join((block.ids[used].tobytes(), block.keys[used].tobytes(), block.base[used].tobytes(), steps_.tobytes()))
-    return len(used), zstandard.compress(data, 1), b"" if node is None else node.tobytes()
+def pack(ids: np.ndarray, keys: np.ndarray, at: np.ndarray) -> tuple[int, bytes]:
+    """Places in few bytes: document by document, ascending in each."""
+    head = np.flatnonzero(np.concatenate(([True], (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1]))))
+    counts = np.diff(np.concatenate((head, [len(at)]))).astype(np.uint32)
+    steps_ = np.diff(at.astype(np.int64), prepend=0)
+    steps_[head] = at[head]
+    data = b"".join((ids[head].tobytes(), keys[head].tobytes(), counts.tobytes(), steps_.astype(np.uint32).tobytes()))
+    return len(head), zstandard.compress(data, 1)
 
 
-def _unpacked(docs: int, place: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Ids and keys of the documents, and for every leaf its document among them and its place there."""
+def unpack(docs: int, place: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Id and key of the document of each place, and the place."""
     data = zstandard.decompress(place)
-    ids, keys, base = np.frombuffer(data, np.int64, 3 * docs).reshape(3, docs)
-    at = np.cumsum(np.frombuffer(data, np.uint32, offset=24 * docs).astype(np.int64))
-    slot = np.searchsorted(base, at, side="right") - 1
-    return ids, keys, slot, (at - base[slot]).astype(np.uint32)
+    ids, keys = np.frombuffer(data, np.int64, 2 * docs).reshape(2, docs)
+    counts = np.frombuffer(data, np.uint32, docs, 16 * docs)
+    steps_ = np.frombuffer(data, np.uint32, offset=20 * docs).astype(np.int64)
+    sums, head = np.cumsum(steps_), np.cumsum(counts) - counts
+    at = sums - np.repeat(sums[head] - steps_[head], counts)
+    return np.repeat(ids, counts), np.repeat(keys, counts), at.astype(np.uint32)
+
+
+def by_group(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each group with its members, which stay in order."""
+    order = np.argsort(group, kind="stable")
+    for part in np.split(order, np.flatnonzero(np.diff(group[order])) + 1) if len(group) else ():
+        yield int(group[part[0]]), part
+
+
+def record(rows: list[tuple], **kinds: pa.DataType) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds.values(), strict=True)], names=list(kinds))
 
 
 def _leaves(documents: DataFrame, window: int, heavy: dict[int, np.ndarray], groups: int) -> DataFrame:
@@ -213,22 +229,16 @@ def _leaves(documents: DataFrame, window: int, heavy: dict[int, np.ndarray], gro
             order = np.argsort(node, kind="stable")
             first = np.ones(len(at), bool)
             first[order[1:]] = node[order[1:]] != node[order[:-1]]
-            rows = []
-            early = np.nonzero(first)[0]
-            bins = (_join(group[early], group[early]) % np.uint64(groups)).astype(np.int64)
-            by_bin = np.argsort(bins, kind="stable")
-            for part in np.split(by_bin, np.nonzero(np.diff(bins[by_bin]))[0] + 1):
-                pick = early[part]
-                rows.append((int(bins[part[0]]), False, *_packed(block, at[pick], node[pick])))
-            later = at[~first]
+            slot = np.searchsorted(block.base, at, side="right") - 1
+            ids, keys, place = block.ids[slot], block.keys[slot], at - block.base[slot]
+            early, later = np.flatnonzero(first), np.flatnonzero(~first)
+            bins = _join(group[early], group[early]) % np.uint64(groups)
+            rows = [
+                (b, False, *pack(ids[x], keys[x], place[x]), node[x].tobytes()) for b, part in by_group(bins) for x in [early[part]]
+            ]
             if len(later):
-                slot = np.searchsorted(block.base, later, side="right") - 1
-                rows.append((int(block.keys[slot[0]] % groups), True, *_packed(block, later, None)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), pa.bool_(), pa.int32(), pa.binary(), pa.binary()),
-                                                strict=True)],
-                names=["bin", "known", "docs", "place", "node"],
-            )
+                rows.append((int(keys[later[0]] % groups), True, *pack(ids[later], keys[later], place[later]), b""))
+            yield record(rows, bin=pa.int32(), known=pa.bool_(), docs=pa.int32(), place=pa.binary(), node=pa.binary())
 
     return documents.mapInArrow(deal, LEAVES)
 
@@ -249,48 +259,57 @@ def repeated_leaves(node: np.ndarray, ids: np.ndarray, keys: np.ndarray, at: np.
 
 
 def _subtrees(leaves: DataFrame, groups: int) -> DataFrame:
-    """(place, key, starts) of documents with repeated leaves: `starts` holds 32-bit places of windows."""
-
-    def rows(ids: np.ndarray, keys: np.ndarray, slot: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
-        """`slot` ascending."""
-        head = np.concatenate(([0], np.nonzero(np.diff(slot))[0] + 1))
-        ends = np.concatenate((head, [len(slot)])).astype(np.int64) * 4
-        starts = pa.Array.from_buffers(pa.large_binary(), len(head), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(at.tobytes())])
-        return pa.RecordBatch.from_arrays(
-            [pa.array(ids[slot[head]]), pa.array(keys[slot[head]]), starts.cast(pa.binary())], names=["place", "key", "starts"]
-        )
+    """(bin, docs, place): the repeated leaves of each group, dealt out by their documents."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, seen = [], 0
+        fresh, known = [], []
         for batch in batches:
-            for known, docs, place, node in zip(*(batch[c].to_pylist() for c in ("known", "docs", "place", "node")), strict=True):
-                ids, keys, slot, at = _unpacked(docs, place)
-                if known:
-                    yield rows(ids, keys, slot, at)
-                else:
-                    found.append((ids, keys, slot + seen, at, np.frombuffer(node, np.uint64)))
-                    seen += docs
+            for is_known, docs, place, node in zip(*(batch[c].to_pylist() for c in ("known", "docs", "place", "node")), strict=True):
+                (known if is_known else fresh).append((*unpack(docs, place), np.frombuffer(node, np.uint64)))
+        found = [x[:3] for x in known]
+        if fresh:
+            ids, keys, at, node = (np.concatenate(x) for x in zip(*fresh, strict=True))
+            again = repeated_leaves(node, ids, keys, at)
+            found.append((ids[again], keys[again], at[again]))
+        if found:
+            ids, keys, at = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.lexsort((at, keys, ids))
+            ids, keys, at = ids[order], keys[order], at[order]
+            home = _join(ids.view(np.uint64), keys.view(np.uint64)) % np.uint64(groups)
+            yield record([(b, *pack(ids[x], keys[x], at[x])) for b, x in by_group(home)], bin=pa.int32(), docs=pa.int32(), place=pa.binary())
+
+    return leaves.repartition(groups, "bin").mapInArrow(merge, "bin int, docs int, place binary")
+
+
+def _gathered(repeats: DataFrame, groups: int) -> DataFrame:
+    """(place, key, starts), one row for each document with repeated leaves: `starts` holds ascending 32-bit places."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [unpack(d, p) for batch in batches for d, p in zip(batch["docs"].to_pylist(), batch["place"].to_pylist(), strict=True)]
         if not found:
             return
-        ids, keys, slot, at, node = (np.concatenate(x) for x in zip(*found, strict=True))
+        ids, keys, at = (np.concatenate(x) for x in zip(*found, strict=True))
         del found
-        again = np.sort(repeated_leaves(node, ids[slot], keys[slot], at))  # leaves of a document stand together
-        if len(again):
-            yield rows(ids, keys, slot[again], at[again])
+        order = np.lexsort((at, keys, ids))
+        ids, keys, at = ids[order], keys[order], at[order]
+        head = np.flatnonzero(np.concatenate(([True], (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1]))))
+        ends = np.concatenate((head, [len(at)])) * 4
+        data = memoryview(at.tobytes())
+        starts = pa.array([data[a:z] for a, z in pairwise(ends.tolist())], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(ids[head]), pa.array(keys[head]), starts], names=["place", "key", "starts"])
 
-    return leaves.repartition(groups, "bin").mapInArrow(merge, "place long, key long, starts binary")
+    return repeats.repartition(groups, "bin").mapInArrow(gather, "place long, key long, starts binary")
 
 
 # Documents --------------------------------------------------------------------------------------------------
 
 
-def cover(n: int, starts: list[bytes], window: int) -> np.ndarray:
+def cover(n: int, starts: bytes, window: int) -> np.ndarray:
     """Which of `n` words a window at one of the packed `starts` covers."""
+    at = np.unique(np.frombuffer(starts, np.uint32)).astype(np.int64)
     edge = np.zeros(n + 1, np.int32)
-    for part in starts:
-        at = np.frombuffer(part, np.uint32)
-        np.add.at(edge, at, 1)
-        np.add.at(edge, at.astype(np.int64) + window, -1)
+    edge[at] += 1
+    edge[at + window] -= 1
     return np.cumsum(edge[:n]) > 0
 
 
@@ -318,8 +337,7 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW, group_leaves: int
     )
     source = docs.select("place", "key", F.col("text").cast("binary").alias("text"))
     heavy, groups = split_prefixes(source, window, group_leaves)
-    starts = _subtrees(_leaves(source, window, heavy, groups), groups)
-    gathered = starts.groupBy("place", "key").agg(F.collect_list("starts").alias("starts"))
+    gathered = _gathered(_subtrees(_leaves(source, window, heavy, groups), groups), groups)
 
     @F.pandas_udf("n_words long, n_removed long, kept string, spans array<struct<start: int, n_words: int>>")
     def cleaned(texts: pd.Series, starts: pd.Series) -> pd.DataFrame:
