@@ -241,22 +241,25 @@ def near_duplicates(documents: DataFrame, distance: int = 4, leaf_rows: int = 40
 
 def keep_one(documents: DataFrame) -> DataFrame:
     """One row of each group of near copies (5-word similarity of 0.8 or more), whole: that with the smallest id (a null
-    last), then the smallest text key. The four words and four bits of `near_duplicates` are op1's alone."""
+    last), then the smallest text key. The four words and four bits of `near_duplicates` are op1's alone.
+
+    Null, empty and blank texts are copies of each other; repeated rows leave one; long texts are compared whole. Columns
+    of any name stay as they are; an empty table gives none.
+    """
     groups = cut_lineage(near_copies(documents))
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_key"))
-    chosen = groups.groupBy("root").agg(F.min(order).alias("k")).select(
-        F.col("k.doc_id").alias("_id"), F.col("k.text_key").alias("_key")
-    )
-    keyed = documents.withColumn("_key", F.xxhash64("text")).withColumn("_id", F.col("doc_id"))
+    chosen = groups.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("id"), F.col("k.text_key").alias("key"))
+    keyed = documents.select(F.struct(*documents.columns).alias("row"), F.xxhash64("text").alias("key"), F.col("doc_id").alias("id"))
     # Equal rows are cut to one in each task before they move.
-    once = keyed.withColumn("_n", F.expr("row_number() over (partition by _id, _key order by _id)")).filter("_n = 1")
+    once = keyed.withColumn("n", F.expr("row_number() over (partition by id, key order by id)")).filter("n = 1")
     stays = once.alias("d").join(
-        chosen.alias("c"), F.col("d._id").eqNullSafe(F.col("c._id")) & (F.col("d._key") == F.col("c._key")), "left_semi"
+        chosen.alias("c"), F.col("d.id").eqNullSafe(F.col("c.id")) & (F.col("d.key") == F.col("c.key")), "left_semi"
     )
-    return stays.select(*documents.columns)
+    return stays.select("row.*")
 
 
 def op1_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprint and component of every document."""
+    """Fingerprint and component of every document; nulls, empty and long texts, ties, repeated rows and empty tables as in
+    `near_duplicates`."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")

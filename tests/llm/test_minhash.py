@@ -57,3 +57,45 @@ def test_exact_similarity():
     a, b = "a b c d e f g h i j", "A b c d e f g h i k"
     want = len(windows(a) & windows(b)) / len(windows(a) | windows(b))
     assert minhash.similarity(minhash.shingles_of(a), minhash.shingles_of(b)) == want
+
+
+def test_a_group_of_alike_texts_makes_few_pairs(spark, monkeypatch):
+    """Copies with few to many edits: those close to the original link to it, the far ones meet nobody."""
+    rng = random.Random(9)
+    words = [f"w{rng.getrandbits(30)}" for _ in range(200)]
+    texts = [edited(rng, words, rng.randint(0, 8)) for _ in range(500)]
+    sets = [windows(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    seen = []
+    compare = minhash._linked
+    monkeypatch.setattr(minhash, "_linked", lambda pairs, *rest: seen.append(pairs.count()) or compare(pairs, *rest))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = sorted(r.doc_id for r in simhash.keep_one(df).collect())
+    assert kept == [i for i in range(len(texts)) if find(i) == i] and len(kept) > 50
+    assert sum(seen) < 30 * len(texts)  # all pairs were 125,000
+
+
+def test_odd_rows(odd, none):
+    rows = minhash.near_copies(odd).collect()
+    assert len(rows) == 10 and minhash.near_copies(none).count() == 0
+    root = {}
+    for r in rows:
+        root.setdefault(r.root, []).append(r.doc_id)
+    assert sorted(sorted(-1 if i is None else i for i in g) for g in root.values()) == [[-1], [-1, 2, 3, 4], [1, 1, 6], [5], [7]]
+
+
+def test_columns_of_any_name_stay(spark):
+    df = spark.createDataFrame([(1, "a b c d e f g", "k", "i", "n", 4), (2, "a b c d e f g", "l", "j", "m", 5)],
+                               "doc_id long, text string, _key string, _id string, key string, n int")
+    assert [tuple(r) for r in simhash.keep_one(df).collect()] == [(1, "a b c d e f g", "k", "i", "n", 4)]

@@ -37,10 +37,12 @@ def groups(codes: list[int], distance: int) -> dict[int, int]:
 
 
 def clusters(seed: int, n: int, spread: int, far: int = 40) -> list[int]:
+    """Codes around one centre, or around several where so few flips don't give enough codes."""
     rng = random.Random(seed)
     out = {rng.getrandbits(64) for _ in range(far)}
-    centre = rng.getrandbits(64)
+    centres = [rng.getrandbits(64) for _ in range(1 + n // 40 if spread < 2 else 1)]
     while len(out) < n:
+        centre = rng.choice(centres)
         out.add(centre ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, spread))))
     return sorted(out)
 
