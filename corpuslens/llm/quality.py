@@ -18,8 +18,8 @@ CLUTTER = "#*$%&|<>!~="
 SEPARATORS = "|<>»›•"
 #: Longest line, in characters, that set phrases are looked for in.
 SHORT = 160
-#: A sentence ends somewhere in the line.
-STOP_RULE = "[.!?…][\"')»”]*([\\x20\\x09-\\x0D]|\\z)"
+#: A sentence ends somewhere in the line: before white space or the line's end, or by a mark of a script without blanks.
+STOP_RULE = "[.!?…؟۔।॥][\"')»”]*([\\x20\\x09-\\x0D]|\\z)|[。！？]"
 MENU_RULE = (
     "^(home|menu|log ?in|log ?out|sign (in|up)|register|contact( us)?|about( us)?|search|site ?map|next|previous|share|"
     "read more|click here|back to top|skip to content)[.!>]?\\z"
@@ -123,8 +123,10 @@ def clean_lines(documents: DataFrame, max_lost_percent: int = 40, min_words: int
 
 
 def keep_good(documents: DataFrame) -> DataFrame:
-    """Rows that `clean_lines` keeps, whole and with their own columns only."""
-    return clean_lines(documents).filter("kept").select(*documents.columns)
+    """Rows that `clean_lines` keeps, whole; columns of any name stay as they are. Null, empty and blank texts go, repeated
+    rows and ties are judged alike, long texts whole; an empty table gives none."""
+    rows = documents.select("text", F.struct(*documents.columns).alias("row"))
+    return clean_lines(rows).filter("kept").select("row.*")
 
 
 COLUMNS = (
@@ -133,7 +135,8 @@ COLUMNS = (
 
 
 def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Measures and verdict of every document."""
+    """Measures and verdict of every document. Phrases are looked for in lines of up to `SHORT` characters, which is part
+    of the rule; everything else reads whole lines. Nulls and other odd rows as in `clean_lines`."""
     return clean_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(*COLUMNS)
 
 

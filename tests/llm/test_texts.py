@@ -14,7 +14,7 @@ import regex
 import tiktoken
 from pyspark.sql import functions as F
 
-from corpuslens.llm import binary_output, byte_bpe, html_text, maxent, nearest
+from corpuslens.llm import binary_output, byte_bpe, html_text, maxent, nearest, quality
 
 RANKS = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 LIBRARY = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
@@ -208,3 +208,15 @@ def test_word_blocks_cover_the_text():
     text = "Some  words\tin\nblocks " * 50
     got = [w for block in maxent.word_blocks(text, 40) for w in block]
     assert got == text.lower().encode().split() + [maxent.END]
+
+
+def test_lines_of_other_scripts_end_sentences(spark):
+    texts = ["यह एक वाक्य है।", "یہ ایک جملہ ہے۔", "هل هذه جملة؟", "这是一个句子。这是另一个", "no end here", "menu ؟x"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(quality.line_fails(F.col("t")).alias("f"))
+    assert [r.f for r in df.collect()] == [False, False, False, False, True, True]
+
+
+def test_kept_rows_keep_columns_of_any_name(spark):
+    text = " ".join(f"word{i}" for i in range(30)) + "."
+    df = spark.createDataFrame([(1, text, "mine", 7, None), (2, "short", "x", 1, 1)], "doc_id long, text string, kept string, n_words int, lost_chars long")
+    assert [tuple(r) for r in quality.keep_good(df).collect()] == [(1, text, "mine", 7, None)]
