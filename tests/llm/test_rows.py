@@ -55,12 +55,49 @@ def test_lines_go_and_poor_documents_too(spark):
     assert got[1].kept and got[1].clean_text == good and not got[2].kept
 
 
-def test_grams_are_distinct_and_block_free():
-    text = "some text, SOME text " * 50
-    whole, blocks = toxicity.Grams().of(text), toxicity.Grams(block=64)
-    assert len(set(whole.tolist())) == len(whole)
-    assert set(blocks.of(text).tolist()) == set(whole.tolist()) == set(blocks.of(text).tolist())
-    assert len(toxicity.Grams().of(None)) == len(toxicity.Grams().of("")) == 0
+def test_grams_are_distinct_in_each_block():
+    text = "some text, SOME text and more " * 50
+    whole, blocks = list(toxicity.Grams(1 << 20).of(text)), list(toxicity.Grams(64).of(text))
+    assert len(whole) == 1 and len(blocks) == -(-(len(text) + 1) // 64)
+    assert all(len(set(b.tolist())) == len(b) for b in whole + blocks)
+    assert set(whole[0].tolist()) == set(np.concatenate(blocks).tolist())
+    assert [len(b) for t in (None, "") for b in toxicity.Grams().of(t)] == [0, 0]
+    assert toxicity.windows([1, 2, 4]) == [3, 6] and toxicity.windows([5]) == [5]
+
+
+def test_the_fit_against_plain_gradient_descent():
+    """The accelerated fit ends where a slow one with one small step for all weights does."""
+    rng = np.random.default_rng(3)
+    rows = [np.unique(rng.integers(0, 12, 5)).astype(np.int32) for _ in range(60)]
+    y, share = rng.integers(0, 2, 60).astype(float), rng.uniform(0.2, 1, 60)
+    ratio = np.zeros(toxicity.FEATURES)
+    ratio[:12] = rng.normal(0, 2, 12)
+    weights, bias = toxicity.fit_logistic(rows, y, ratio, 0.05, 3000, share)
+    x = np.zeros((60, 12))
+    for i, r in enumerate(rows):
+        x[i, r] = ratio[r]
+    c = share * np.where(y == 1, 0.5 / share[y == 1].sum(), 0.5 / share[y == 0].sum())
+    w, b = np.zeros(12), 0.0
+    for _ in range(60000):
+        error = c * (1 / (1 + np.exp(-(x @ w + b))) - y)
+        w, b = w - 0.05 * (x.T @ error + 0.05 * w), b - 0.05 * error.sum()
+    assert np.allclose(weights[:12], w * ratio[:12], atol=1e-3) and abs(bias - b) < 1e-3
+
+
+def test_toxic_parts_of_long_texts_are_found(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = toxicity.train(docs, labels)
+    held = docs.join(labels, "doc_id").filter("crc32(cast(doc_id as string)) % 5 = 0")
+    found = [r.text for r in toxicity.score(held.filter("toxic = 1"), model).filter("predicted = 1").collect()]
+    clean = [r.text for r in toxicity.score(held.filter("toxic = 0"), model).filter("predicted = 0").collect()]
+    rng = np.random.default_rng(1)
+    mixed = [(i, "\n".join([t, *rng.choice(clean, n)])) for n in (1, 5, 20) for i, t in enumerate(found)]
+    share = toxicity.score(spark.createDataFrame(mixed, "n long, text string"), model).agg(F.avg("predicted")).first()[0]
+    assert share > 0.85
+    long = "\n".join(found)
+    assert len(long.split()) > 20000
+    assert toxicity.score(spark.createDataFrame([(long,)], "text string"), model).first().predicted == 1
 
 
 def test_toxicity_held_out(spark):
