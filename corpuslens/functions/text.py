@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 import pandas as pd
@@ -35,6 +35,11 @@ def nfc(texts: pd.Series) -> pd.Series:
     )
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once a row, however often `body` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _replace(text: Column, *rules: tuple[str, str]) -> Column:
     return reduce(lambda c, rule: F.regexp_replace(c, F.lit(rule[0]), F.lit(rule[1])), rules, text)
 

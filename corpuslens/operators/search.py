@@ -1,4 +1,8 @@
-"""BM25 relevance search as Spark jobs: many queries at once, over texts or a stored index."""
+"""BM25 relevance search as Spark jobs: many queries at once, over texts or a stored index.
+
+Texts are cut to terms once and written; what is asked of them becomes postings. The best documents of a query are found
+without scoring all that share a word with it: see `top_documents`.
+"""
 
 from __future__ import annotations
 
@@ -39,13 +43,14 @@ def analyse(
         )
         for f in keywords
     ]
-    return docs.select(F.col(key).alias("doc"), *keep, F.inline(F.array(*parts))).filter(F.size("terms") > 0)
+    rows = docs.select(F.col(key).alias("doc"), *keep, F.inline(F.array(*parts)))
+    return rows.withColumn("len", F.size("terms")).filter(F.col("len") > 0)
 
 
 def field_stats(analysed: DataFrame) -> DataFrame:
     """Documents and total length of each field."""
     return analysed.groupBy("field").agg(
-        F.count(F.lit(1)).alias("n_docs"), F.sum(F.size("terms")).alias("total_len")
+        F.count(F.lit(1)).alias("n_docs"), F.sum("len").alias("total_len")
     )
 
 
@@ -58,13 +63,13 @@ def vocabulary(analysed: DataFrame, stem: bool) -> DataFrame:
     if not stem:
         return surfaces.withColumn("term", F.col("surface"))
     cores = surfaces.sparkSession.sparkContext.defaultParallelism
-    return surfaces.repartition(cores).withColumn("term", porter_stem("surface"))
+    return surfaces.repartition(cores).withColumn("term", porter_stem(F.col("surface")))
 
 
 def query_terms(queries: DataFrame, stem: bool) -> DataFrame:
     """Terms of each query with the number of times they occur in it."""
     found = tx.unfold(queries, tx.content_words(F.col("text")), "surface", "query_id")
-    term = porter_stem("surface") if stem else F.col("surface")
+    term = porter_stem(F.col("surface")) if stem else F.col("surface")
     return found.select("query_id", term.alias("term")).groupBy("query_id", "term").agg(
         F.count(F.lit(1)).cast("double").alias("weight")
     )
@@ -121,49 +126,133 @@ def expand_fuzzy(terms: DataFrame, wanted: DataFrame) -> DataFrame:
     ).filter(F.col("similarity") > 0)
 
 
+KEYS = ["field", "kind", "term"]
+#: Ranks compare scores rounded to nine digits, so what is within a digit of the bar must stay.
+SLACK = 1e-8
+
+
 def term_counts(analysed: DataFrame, wanted: DataFrame) -> DataFrame:
     """How often each wanted index term occurs in each document field.
 
     `wanted(kind, surface, term)` is small for few queries; Spark then broadcasts it by its size and
     only the matches are shuffled.
     """
-    rows = analysed.select("doc", "field", "kind", F.size("terms").alias("len"), F.explode("terms").alias("surface"))
+    rows = analysed.select("doc", "field", "kind", "len", F.explode("terms").alias("surface"))
     return rows.join(wanted, ["kind", "surface"]).groupBy("doc", "field", "kind", "len", "term").agg(
         F.count(F.lit(1)).alias("tf")
     )
 
 
-def document_frequencies(counts: DataFrame) -> DataFrame:
-    """Documents per field and term. Reading `tf` keeps the plan below equal to that of the scores, so
-    both share one shuffle and the texts are read once."""
-    return counts.groupBy("field", "term").agg(F.count_if(F.col("tf") > 0).alias("df"))
+def _averages(stats: DataFrame) -> DataFrame:
+    """One row per field, so its size is fixed by the call."""
+    return F.broadcast(stats.select("field", F.col("n_docs").alias("n"), (F.col("total_len") / F.col("n_docs")).alias("avg_len")))
 
 
-def bm25(
-    counts: DataFrame, stats: DataFrame, asked: DataFrame, boosts: Mapping[str, float],
-    frequencies: DataFrame | None = None,
-) -> DataFrame:
-    """Score of each query and document: the best field's sum over the query's terms.
+def gain(tf: Column, length: Column) -> Column:
+    """What a term's occurrences are worth, before its rarity. Keyword fields have no length norm."""
+    norm = F.when(F.col("kind") == KEYWORD, F.lit(1.0)).otherwise(1 - fixed.BM25_B + fixed.BM25_B * length / F.col("avg_len"))
+    return tf * (fixed.BM25_K1 + 1) / (tf + fixed.BM25_K1 * norm)
+
+
+def postings(counts: DataFrame, stats: DataFrame) -> DataFrame:
+    """(doc, field, kind, term, gain) of each count."""
+    return counts.join(_averages(stats), "field").select("doc", *KEYS, gain(F.col("tf"), F.col("len")).alias("gain"))
 
-    `asked(query_id, kind, term, weight)` lists index terms. Keyword fields have no length norm.
+
+def term_bounds(found: DataFrame) -> DataFrame:
+    """Documents of each term of a field, and the most that one of them gains by it."""
+    return found.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("df"), F.max("gain").alias("top"))
+
+
+def query_weights(bounds: DataFrame, stats: DataFrame, asked: DataFrame, boosts: Mapping[str, float]) -> DataFrame:
+    """(query_id, field, kind, term, weight, df, top): what a query pays for each unit of gain.
+
+    `asked(query_id, kind, term, weight)` lists index terms.
     """
-    df = document_frequencies(counts) if frequencies is None else frequencies
     boost = F.create_map(*[F.lit(x) for pair in boosts.items() for x in pair])
-    # One row per field, so its size is fixed by the call.
-    per_field = F.broadcast(stats.select(
-        "field", F.col("n_docs").alias("n"), (F.col("total_len") / F.col("n_docs")).alias("avg_len")
-    ))
     n, seen = F.col("n"), F.col("df")
-    idf = F.ln(1 + (n - seen + 0.5) / (seen + 0.5))
-    weights = df.join(per_field, "field").select("field", "term", idf.alias("idf"), "avg_len")
-    norm = F.when(F.col("kind") == KEYWORD, F.lit(1.0)).otherwise(
-        1 - fixed.BM25_B + fixed.BM25_B * F.col("len") / F.col("avg_len")
+    rarity = F.ln(1 + (n - seen + 0.5) / (seen + 0.5))
+    priced = bounds.join(_averages(stats), "field").select(
+        *KEYS, "df", "top", (rarity * F.try_element_at(boost, F.col("field"))).alias("price")
+    )
+    return asked.join(priced, ["kind", "term"]).select(
+        "query_id", *KEYS, (F.col("weight") * F.col("price")).alias("weight"), "df", "top"
+    )
+
+
+def all_documents(found: DataFrame, weights: DataFrame) -> DataFrame:
+    """Score of each query and document that share a term: the best field's sum over the query's terms."""
+    sums = found.join(weights, KEYS).groupBy("query_id", "doc", "field").agg(F.sum(F.col("weight") * F.col("gain")).alias("s"))
+    return sums.groupBy("query_id", "doc").agg(F.max("s").alias("score"))
+
+
+def bars(found: DataFrame, weights: DataFrame, promising: DataFrame, k: int) -> DataFrame:
+    """(query_id, bar): a score that at least `k` documents of the query reach, or 0 if no such is known.
+
+    The best twice `k` of `promising(query_id, doc, score)` are scored by all terms; the k-th best of these scores is the bar.
+    """
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"))
+    leading = promising.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= 2 * k)
+    paid = leading.select("query_id", "doc").join(weights.select("query_id", *KEYS, "weight"), "query_id").join(found, ["doc", *KEYS])
+    sums = paid.groupBy("query_id", "doc", "field").agg(F.sum(F.col("weight") * F.col("gain")).alias("s"))
+    scored = sums.groupBy("query_id", "doc").agg(F.max("s").alias("score")).withColumn("place", F.row_number().over(best))
+    return scored.filter(F.col("place") <= k).groupBy("query_id").agg(
+        F.when(F.count(F.lit(1)) == k, F.min("score")).otherwise(F.lit(0.0)).alias("bar")
+    )
+
+
+def rarest_terms(weights: DataFrame, k: int, seeds: int = 3) -> DataFrame:
+    """The rarest terms of each query, as many as it takes to name `seeds` times `k` documents."""
+    order = Window.partitionBy("query_id").orderBy("df", *KEYS)
+    before = F.coalesce(F.sum("df").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return weights.withColumn("before", before).filter(F.col("before") < seeds * k).select("query_id", *KEYS, "weight")
+
+
+def split_terms(weights: DataFrame, bar: DataFrame) -> DataFrame:
+    """The weights with `needed` and `rest`: a field's terms from the least that they can give, as long as all of them
+    together stay below the bar, aren't needed to find a document; `rest` is their sum."""
+    climb = Window.partitionBy("query_id", "field").orderBy("most", "kind", "term").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("query_id", "field")
+    judged = weights.withColumn("most", F.col("weight") * F.col("top")).join(bar, "query_id", "left").withColumn(
+        "bar", F.coalesce("bar", F.lit(0.0)) - SLACK
+    ).withColumn("needed", F.sum("most").over(climb) >= F.col("bar"))
+    return judged.withColumn("rest", F.coalesce(F.sum(F.when(~F.col("needed"), F.col("most"))).over(whole), F.lit(0.0)))
+
+
+def survivors(found: DataFrame, terms: DataFrame) -> DataFrame:
+    """(query_id, doc, field, s, rest) of the documents that can still reach the bar: `s` is what the needed terms give, and
+    what the others can add at most would be enough."""
+    needed = terms.filter("needed").select("query_id", *KEYS, "weight", "bar", "rest")
+    return found.join(needed, KEYS).groupBy("query_id", "doc", "field").agg(
+        F.sum(F.col("weight") * F.col("gain")).alias("s"), F.max("rest").alias("rest"), F.max("bar").alias("bar")
+    ).filter(F.col("s") + F.col("rest") >= F.col("bar")).drop("bar")
+
+
+def raised(found: DataFrame, weights: DataFrame, left: DataFrame, k: int) -> DataFrame:
+    """The survivors that also reach the bar of those with the best sums so far."""
+    promising = left.groupBy("query_id", "doc").agg(F.max("s").alias("score"))
+    bar = bars(found, weights, promising, k)
+    return left.join(bar, "query_id").filter(F.col("s") + F.col("rest") >= F.col("bar") - SLACK).drop("bar")
+
+
+def top_documents(found: DataFrame, weights: DataFrame, k: int) -> DataFrame:
+    """The best `k` documents of each query, exactly, without scoring all that match.
+
+    Rare terms first: they lead to documents whose scores give each query a bar. Common terms that can't reach the bar even
+    together are not needed to find a document, so their postings are met only by the documents that the other terms
+    left, after these have raised the bar once more. Each step is a join and an aggregate over all queries; nothing is cut
+    off by a guess.
+    """
+    rare = all_documents(found, rarest_terms(weights, k))
+    terms = cut_lineage(split_terms(weights, bars(found, weights, rare, k)))
+    left = cut_lineage(survivors(found, terms))
+    left = cut_lineage(raised(found, weights, left, k)).drop("rest")
+    spare = terms.filter(~F.col("needed")).select("query_id", *KEYS, "weight")
+    more = left.join(spare, ["query_id", "field"]).join(found, ["doc", *KEYS]).select(
+        "query_id", "doc", "field", (F.col("weight") * F.col("gain")).alias("s")
     )
-    gain = F.col("tf") * (fixed.BM25_K1 + 1) / (F.col("tf") + fixed.BM25_K1 * norm)
-    part = F.col("weight") * F.col("idf") * gain * F.try_element_at(boost, F.col("field"))
-    scored = counts.join(weights, ["field", "term"]).join(asked, ["kind", "term"])
-    per_field_sum = scored.groupBy("query_id", "doc", "field").agg(F.sum(part).alias("s"))
-    return per_field_sum.groupBy("query_id", "doc").agg(F.max("s").alias("score"))
+    sums = left.unionByName(more).groupBy("query_id", "doc", "field").agg(F.sum("s").alias("s"))
+    return top_per_query(sums.groupBy("query_id", "doc").agg(F.max("s").alias("score")), k)
 
 
 def top_per_query(scores: DataFrame, k: int | None, digits: int = 9) -> DataFrame:
@@ -185,17 +274,17 @@ def search(
     restricts the hits, but not the statistics.
     """
     boosts = dict(fields or PAPER_FIELDS)
-    analysed = analyse(docs, key, list(boosts), keywords)
+    # The vocabulary, the totals and the counts all read the terms; so the texts are analysed once.
+    analysed = cut_lineage(analyse(docs, key, list(boosts), keywords))
     asked = query_terms(queries, stem).withColumn("kind", F.lit(TEXT))
     if stem or fuzzy:
-        # The vocabulary, the totals and the counts all read the terms; so the texts are analysed once.
-        analysed = cut_lineage(analysed)
         words = vocabulary(analysed, stem)
         if fuzzy:
             near = expand_fuzzy(words, asked)
             asked = asked.join(near, "term").groupBy("query_id", "kind", F.col("found").alias("term")).agg(
                 F.sum(F.col("weight") * F.col("similarity")).alias("weight")
             )
+        asked = cut_lineage(asked)
         wanted = words.join(asked.select("term").distinct(), "term").select(
             F.lit(TEXT).alias("kind"), "surface", "term"
         )
@@ -207,14 +296,13 @@ def search(
         asked = asked.unionByName(whole)
         wanted = wanted.unionByName(whole.select("kind", F.col("term").alias("surface"), "term").distinct())
         boosts.update({f: 1.0 for f in keywords})
-    counts = term_counts(analysed, wanted)
-    frequencies = None
+    stats = field_stats(analysed)
+    found = cut_lineage(postings(term_counts(analysed, wanted), stats))
+    weights = query_weights(term_bounds(found), stats, asked, boosts)
     if keep is not None:
-        frequencies = document_frequencies(counts)
-        kept = docs.filter(keep).select(F.col(key).alias("doc"))
-        counts = counts.join(kept, "doc", "left_semi")
-    scores = bm25(counts, field_stats(analysed), asked, boosts, frequencies)
-    return top_per_query(scores, k).withColumnRenamed("doc", key)
+        found = found.join(docs.filter(keep).select(F.col(key).alias("doc")), "doc", "left_semi")
+    hits = all_documents(found, weights) if k is None else top_documents(found, weights, k)
+    return hits.withColumnRenamed("doc", key)
 
 
 def candidates(papers: DataFrame, queries: DataFrame, k: int = 200, stem: bool = True) -> DataFrame:
@@ -267,36 +355,85 @@ def related_by_topic(papers: DataFrame, k: int = 4, fetched: int = 6, stem: bool
     return named.join(listed, "topic_cluster").select("paper_id", F.posexplode(others).alias("place", "related_id"))
 
 
-def build_index(papers: DataFrame, path: str, months: Sequence[str] | None = None, stem: bool = True) -> None:
-    """Write postings and field totals of the papers, or of some months, replacing just those months."""
+#: Parts of a stored month; a term's part is a hash of it.
+BUCKETS = 16
+
+
+def _bucket(term: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
+
+def build_index(
+    papers: DataFrame, path: str, months: Sequence[str] | None = None, stem: bool = True, buckets: int = BUCKETS
+) -> None:
+    """Write the index of the papers, or of some months, replacing just those months.
+
+    Three tables: `postings` by month and hash of the term, sorted by term; `terms` with the documents of each term, its
+    largest count and the least length, from which a search bounds its gain; and `totals` of the fields. Each part of a
+    replaced month gets a row without a document, so that parts that lost all their terms are replaced as well.
+    """
     rows = papers if months is None else papers.filter(F.col("ingest_year_month").isin(list(months)))
-    analysed = analyse(rows, "paper_id", list(PAPER_FIELDS), keep=["ingest_year_month"])
+    analysed = cut_lineage(analyse(rows, "paper_id", list(PAPER_FIELDS), keep=["ingest_year_month"]))
     words = vocabulary(analysed, stem)
     surfaces = analysed.select(
-        "ingest_year_month", "doc", "field", F.size("terms").alias("len"), F.explode("terms").alias("surface")
+        "ingest_year_month", "doc", "field", "len", F.explode("terms").alias("surface")
     ).groupBy("ingest_year_month", "doc", "field", "len", "surface").agg(F.count(F.lit(1)).alias("n"))
-    postings = surfaces.join(words, "surface").groupBy(
+    listed = cut_lineage(surfaces.join(words, "surface").groupBy(
         "ingest_year_month", "doc", "field", "len", "term"
-    ).agg(F.sum("n").alias("tf"))
+    ).agg(F.sum("n").alias("tf")).withColumn("bucket", _bucket(F.col("term"), buckets)))
+    terms = listed.groupBy("ingest_year_month", "bucket", "field", "term").agg(
+        F.count(F.lit(1)).alias("df"), F.max("tf").alias("most_tf"), F.min("len").alias("least_len")
+    )
     totals = analysed.groupBy("ingest_year_month", "field").agg(
-        F.count(F.lit(1)).alias("n_docs"), F.sum(F.size("terms")).alias("total_len")
+        F.count(F.lit(1)).alias("n_docs"), F.sum("len").alias("total_len")
     )
-    for name, table in (("postings", postings), ("totals", totals)):
-        # Files of a month are sorted by term, so that their statistics rule out most row groups.
-        order = ["ingest_year_month", *(["term"] if "term" in table.columns else [])]
-        table.hint("rebalance", *order).sortWithinPartitions(*order).write.option(
-            "partitionOverwriteMode", "dynamic"
-        ).mode("overwrite").partitionBy("ingest_year_month").parquet(f"{path}/{name}")
+    spark = papers.sparkSession
+    touched = spark.createDataFrame([(m,) for m in months or []], "ingest_year_month string")
+    parts = touched.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    for name, table, mark in (("postings", listed, parts), ("terms", terms, parts), ("totals", totals, touched)):
+        by = [c for c in ("ingest_year_month", "bucket") if c in table.columns]
+        order = [*by, *(["term"] if "term" in table.columns else [])]
+        whole = table.unionByName(mark, allowMissingColumns=True)
+        whole.hint("rebalance", *by).sortWithinPartitions(*order).write.option(
+            "partitionOverwriteMode", "static" if months is None else "dynamic"
+        ).mode("overwrite").partitionBy(*by).parquet(f"{path}/{name}")
+
+
+#: Columns of the stored tables; reading by them opens no file for its schema.
+STORED = {
+    "postings": "doc string, field string, len int, term string, tf long, ingest_year_month string, bucket int",
+    "terms": "field string, term string, df long, most_tf long, least_len int, ingest_year_month string, bucket int",
+    "totals": "field string, n_docs long, total_len long, ingest_year_month string",
+}
+
+
+def index_part(spark: SparkSession, path: str, name: str, wanted: DataFrame) -> DataFrame:
+    """Rows of a stored table for `wanted(bucket, term)`; folders of other buckets are not opened."""
+    # At most as many numbers as there are buckets, known before the scan starts.
+    asked = wanted.agg(F.collect_set("bucket").alias("b")).scalar()
+    rows = spark.read.schema(STORED[name]).parquet(f"{path}/{name}").filter(F.array_contains(asked, F.col("bucket")))
+    return rows.join(wanted, ["bucket", "term"], "left_semi").withColumn("kind", F.lit(TEXT))
 
 
 def search_index(
-    spark: SparkSession, path: str, queries: DataFrame, k: int | None = 20, stem: bool = True,
+    spark: SparkSession, path: str, queries: DataFrame, k: int | None = 20, stem: bool = True, buckets: int = BUCKETS
 ) -> DataFrame:
-    """The same ranking from a stored index: only postings of the query's terms are shuffled."""
-    asked = query_terms(queries, stem).withColumn("kind", F.lit(TEXT))
-    postings = spark.read.parquet(f"{path}/postings").withColumn("kind", F.lit(TEXT))
-    counts = postings.join(asked.select("term").distinct(), "term", "left_semi")
-    stats = spark.read.parquet(f"{path}/totals").groupBy("field").agg(
+    """The same ranking from a stored index; `buckets` as it was built with.
+
+    Only the parts that hold a hash of an asked term are read, and of `postings` just once: document frequencies and bounds
+    come from `terms`, and what the terms select is written for the steps after it.
+    """
+    asked = cut_lineage(query_terms(queries, stem).withColumn("kind", F.lit(TEXT)))
+    wanted = asked.select("term").distinct().withColumn("bucket", _bucket(F.col("term"), buckets))
+    stats = spark.read.schema(STORED["totals"]).parquet(f"{path}/totals").filter("field is not null").groupBy("field").agg(
         F.sum("n_docs").alias("n_docs"), F.sum("total_len").alias("total_len")
     )
-    return top_per_query(bm25(counts, stats, asked, PAPER_FIELDS), k).withColumnRenamed("doc", "paper_id")
+    known = index_part(spark, path, "terms", wanted).groupBy(*KEYS).agg(
+        F.sum("df").alias("df"), F.max("most_tf").alias("most_tf"), F.min("least_len").alias("least_len")
+    )
+    # More occurrences and a shorter field gain more, so the best of both bounds every document's gain.
+    bounds = known.join(_averages(stats), "field").select(*KEYS, "df", gain(F.col("most_tf"), F.col("least_len")).alias("top"))
+    found = cut_lineage(postings(index_part(spark, path, "postings", wanted).filter("doc is not null"), stats))
+    weights = query_weights(bounds, stats, asked, PAPER_FIELDS)
+    hits = all_documents(found, weights) if k is None else top_documents(found, weights, k)
+    return hits.withColumnRenamed("doc", "paper_id")

@@ -77,7 +77,7 @@ def _refreshed(v, stem: bool):
     return shown(search.search_index(v.spark, index, v.queries, stem=stem))
 
 
-@query()
+@query("texts", "queries", sql=f"{bm25_sql(TWO_FIELDS, stem=True)} {SHOWN_SQL}")
 def stream_index_refresh(v):
     """Months touched by arriving papers are indexed again, then every benchmark passage is searched."""
     return _refreshed(v, True)

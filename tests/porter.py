@@ -1,13 +1,9 @@
-"""Porter's stemmer (1980) as a vectorised function, meant for a vocabulary of distinct words."""
+"""Porter's stemmer (1980) word by word, as the brute-force version of the rules in SQL."""
 
 from __future__ import annotations
 
 import re
 
-import pandas as pd
-from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
-
 # Suffix rules of steps 2, 3 and 4 of the published algorithm.
 STEP2 = {
     "ational": "ate", "tional": "tion", "enci": "ence", "anci": "ance", "izer": "ize", "abli": "able",
@@ -95,8 +91,3 @@ def porter(word: str) -> str:
     if w.endswith("ll") and _measure(w) > 1:
         w = w[:-1]
     return w
-
-
-@F.pandas_udf(StringType())
-def porter_stem(words: pd.Series) -> pd.Series:
-    return words.map(lambda w: None if w is None else porter(w))

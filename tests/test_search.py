@@ -5,11 +5,13 @@ import random
 import re
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpuslens.functions import fixed_values as fixed
-from corpuslens.functions.stem import porter
+from corpuslens.functions.stem import porter_stem
 from corpuslens.operators import search
+from porter import porter
 
 WORDS = (
     "learning learned learns graph graphs neural networks network model models modelling data the of and "
@@ -152,3 +154,76 @@ def test_section_needs_heading_and_body_together(spark):
     df = spark.createDataFrame(rows, "paper_id string, sections array<struct<heading: string, text: string>>")
     got = search.section_search(df, search.one_query(spark, "domain shifts"), heading="limitations")
     assert [r.paper_id for r in got.collect()] == ["a"]
+
+
+def zipf_corpus(spark, n, seed):
+    """Documents over a vocabulary with a few very common words."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(400)]
+    weights = [1 / (i + 1) for i in range(400)]
+    rows = [(f"d{i:04d}", " ".join(rng.choices(vocabulary, weights, k=3)), " ".join(rng.choices(vocabulary, weights, k=rng.randint(5, 60)))) for i in range(n)]
+    queries = [(f"q{i:02d}", " ".join(rng.choices(vocabulary, weights, k=rng.randint(1, 12)))) for i in range(40)] + [("none", "zzz"), ("one", "w0")]
+    return spark.createDataFrame(rows, "paper_id string, title string, abstract string"), spark.createDataFrame(queries, "query_id string, text string")
+
+
+@pytest.mark.parametrize("k", [1, 7, 5000])
+def test_pruned_ranking_equals_the_full_one(spark, k):
+    docs, queries = zipf_corpus(spark, 600, k)
+    full = search.top_per_query(search.search(docs, queries, k=None, stem=False).withColumnRenamed("paper_id", "doc"), k).collect()
+    pruned = search.search(docs, queries, k=k, stem=False).collect()
+    as_rows = lambda rows, key: sorted((r.query_id, r.place, r[key], round(r.score, 9)) for r in rows)
+    assert as_rows(pruned, "paper_id") == as_rows(full, "doc")
+
+
+def test_pruning_leaves_few_documents(spark):
+    """What is joined and shuffled is far below queries times matches."""
+    docs, queries = zipf_corpus(spark, 4000, 1)
+    analysed = search.analyse(docs, "paper_id", ["abstract"])  # titles of three words tie by the hundred
+    asked = search.query_terms(queries, False).withColumn("kind", F.lit(search.TEXT))
+    stats = search.field_stats(analysed)
+    found = search.postings(search.term_counts(analysed, asked.select("kind", F.col("term").alias("surface"), "term").distinct()), stats).cache()
+    weights = search.query_weights(search.term_bounds(found), stats, asked, search.PAPER_FIELDS).cache()
+    matches = search.all_documents(found, weights).count()
+    joined = found.join(weights, search.KEYS).count()
+    rare = search.all_documents(found, search.rarest_terms(weights, 10))
+    terms = search.split_terms(weights, search.bars(found, weights, rare, 10)).cache()
+    needed = found.join(terms.filter("needed"), search.KEYS).count()
+    left = search.raised(found, weights, search.survivors(found, terms), 10).count()
+    assert needed < joined / 4 and left < matches / 10
+
+
+def test_stems_equal_the_published_steps(spark):
+    rng = random.Random(1)
+    ends = "sses ies ss s eed ed ing y ational tional izer ousli ization ator iviti icate alize ical ness ance ement ion ive e ll".split()
+    made = {"".join(rng.choice("aeiouybcdlmrstwxzé") for _ in range(rng.randint(1, 6))) + "".join(rng.choices(ends, k=rng.randint(0, 2))) for _ in range(4000)}
+    made |= {"caresses", "ponies", "agreed", "hopping", "falling", "filing", "sky", "happy", "relational", "a", ""} | {"y" * k + "ing" for k in range(9)}
+    rows = spark.createDataFrame([(w,) for w in made], "w string").select("w", porter_stem(F.col("w")).alias("s")).collect()
+    assert [(r.w, r.s) for r in rows if r.s != porter(r.w)] == []
+
+
+def test_the_index_opens_only_the_buckets_of_asked_terms(spark, tmp_path):
+    path = str(tmp_path / "index")
+    search.build_index(papers(spark), path, stem=False)
+    query = search.one_query(spark, "neural networks")
+    want = scores(search.search_index(spark, path, query, None, stem=False))
+    asked = {r[0] for r in spark.createDataFrame([("neural",), ("networks",)], "t string").select(search._bucket(F.col("t"), search.BUCKETS)).collect()}
+    broken = 0
+    for file in (tmp_path / "index" / "postings").rglob("*.parquet"):
+        if int(file.parent.name.removeprefix("bucket=")) not in asked:
+            file.write_bytes(b"no parquet")  # would stop whatever opens it
+            broken += 1
+    assert broken and want
+    assert close(scores(search.search_index(spark, path, query, None, stem=False)), want)
+    wanted = spark.createDataFrame([("neural", min(asked))], "term string, bucket int")
+    plan = search.index_part(spark, path, "postings", wanted)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and re.search(r"PartitionFilters: \[[^]]*bucket", plan)
+
+
+def test_a_month_that_loses_its_terms_loses_its_postings(spark, tmp_path):
+    path = str(tmp_path / "index")
+    df = papers(spark)
+    search.build_index(df, path)
+    search.build_index(df.filter("ingest_year_month != '2024-02'"), path, ["2024-02"])
+    query = search.one_query(spark, "neural networks data")
+    rest = df.filter("ingest_year_month != '2024-02'")
+    assert close(scores(search.search_index(spark, path, query, None)), scores(search.search(rest, query, k=None)))
