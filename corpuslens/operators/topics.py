@@ -1,17 +1,18 @@
-"""Topic modelling as data work: vectors, 2-D coordinates, density clusters and topic words."""
+"""Topic modelling as data work: vectors, coordinates, density clusters and topic words."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslens.functions import text as tx
+from corpuslens.operators.numbering import numbered
 from corpuslens.session import cut_lineage
 
 NOISE = -1
@@ -61,31 +62,6 @@ def project_2d(vectors: DataFrame, key: str = "paper_id") -> DataFrame:
     )
 
 
-def _neighbours(cells: DataFrame) -> DataFrame:
-    """Each cell with the cells around it and itself, met by an equi-join on the cell."""
-    around = F.array(*[
-        F.struct((F.col("cx") + dx).alias("nx"), (F.col("cy") + dy).alias("ny"))
-        for dx in (-1, 0, 1) for dy in (-1, 0, 1)
-    ])
-    return cells.select("cx", "cy", F.inline(around))
-
-
-def grid_cells(points: DataFrame, eps: float, x: str = "umap_x", y: str = "umap_y") -> DataFrame:
-    """Points per grid cell, whose diagonal is `eps`, so that all points of a cell are neighbours."""
-    side = eps / 2**0.5
-    return points.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(
-        F.floor(F.col(x) / side).alias("cx"), F.floor(F.col(y) / side).alias("cy")
-    ).agg(F.count(F.lit(1)).alias("n"))
-
-
-def dense_cells(cells: DataFrame, min_samples: int) -> DataFrame:
-    """Cells with enough points in themselves and the cells around them."""
-    sums = _neighbours(cells).join(
-        cells.select(F.col("cx").alias("nx"), F.col("cy").alias("ny"), F.col("n").alias("near")), ["nx", "ny"]
-    ).groupBy("cx", "cy").agg(F.sum("near").alias("near"))
-    return cells.join(sums, ["cx", "cy"]).filter(F.col("near") >= min_samples)
-
-
 def connected(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Smallest node reachable from each node: (id, component).
 
@@ -108,42 +84,119 @@ def connected(edges: DataFrame, nodes: DataFrame) -> DataFrame:
             return labels
 
 
+def _squared(a: Column, b: Column) -> Column:
+    """Squared distance of two places."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
+
+
+def _outside(at: Column, low: Column, high: Column) -> Column:
+    """Squared distance of a place from a box."""
+    beyond = F.zip_with(F.zip_with(low, at, lambda x, y: x - y), F.zip_with(at, high, lambda x, y: x - y), lambda x, y: F.greatest(x, y, F.lit(0.0)))
+    return F.aggregate(beyond, F.lit(0.0), lambda s, x: s + x * x)
+
+
+def _cell(at: Column, side: float) -> Column:
+    return F.transform(at, lambda x: F.floor(x / side))
+
+
+def _around(cells: DataFrame, dims: int) -> DataFrame:
+    """(cell, next): each of some cells with the occupied ones of `cells` that touch it, itself included."""
+    near = cells.withColumn("next", F.array().cast("array<bigint>"))
+    for i in range(dims):
+        near = near.withColumn("_c", F.explode(F.array(*[F.get("cell", F.lit(i)) + d for d in (-1, 0, 1)]))).withColumn(
+            "next", F.concat("next", F.array("_c"))
+        ).drop("_c")
+    return near.join(cells.select(F.col("cell").alias("next")), "next")
+
+
+def _core_spots(spots: DataFrame, pairs: DataFrame, eps: float, min_samples: int) -> DataFrame:
+    """(at, core) of every spot: whether enough points lie within `eps` of it, itself included.
+
+    All points of a fine cell are that near to each other, so a crowded cell needs no look at its neighbours.
+    """
+    crowd = spots.groupBy("fine").agg(F.sum("n").alias("crowd"))
+    known = spots.join(crowd, "fine").withColumn("sure", F.col("crowd") >= min_samples)
+    open_ = known.filter(~F.col("sure")).select("cell", "at").join(pairs, "cell")
+    others = spots.select(F.col("cell").alias("next"), F.col("at").alias("to"), "n")
+    counted = open_.join(others, "next").filter(_squared(F.col("at"), F.col("to")) <= eps * eps).groupBy("at").agg(F.sum("n").alias("near"))
+    return known.join(counted, "at", "left").select("at", "cell", "fine", "n", (F.col("sure") | (F.coalesce("near", F.lit(0)) >= min_samples)).alias("core"))
+
+
+def _core_links(core: DataFrame, pairs: DataFrame, eps: float, dims: int) -> DataFrame:
+    """(src, dst): fine cells with core points that lie within `eps` of each other, enough of them to span every cluster.
+
+    For two cells the point of one nearest to the other's box and the point there nearest to it settle most pairs, by
+    work that grows with the points, not with their pairs. What then could still join two parts is compared point by
+    point, near the other's box only.
+    """
+    reach = eps * eps
+    corners = [F.array(*[f(F.get("at", F.lit(i))) for i in range(dims)]) for f in (F.min, F.max)]
+    boxes = core.groupBy("fine").agg(corners[0].alias("low"), corners[1].alias("high"))
+    held = core.select("fine", "cell").distinct()
+    met = held.withColumnRenamed("fine", "src").join(pairs, "cell").join(
+        held.select(F.col("fine").alias("dst"), F.col("cell").alias("next")), "next"
+    ).filter(F.col("src") < F.col("dst")).select("src", "dst").distinct()
+    box = boxes.select(F.col("fine").alias("dst"), "low", "high")
+    one = core.select(F.col("fine").alias("src"), "at")
+    first = met.join(box, "dst").join(one, "src").groupBy("src", "dst").agg(
+        F.min(F.struct(_outside(F.col("at"), F.col("low"), F.col("high")).alias("d"), "at")).alias("w")
+    ).filter(F.col("w.d") <= reach)
+    other = core.select(F.col("fine").alias("dst"), F.col("at").alias("to"))
+    judged = cut_lineage(first.join(other, "dst").groupBy("src", "dst").agg(F.min(_squared(F.col("w.at"), F.col("to"))).alias("d")))
+    sure = judged.filter(F.col("d") <= reach).select("src", "dst")
+    both = lambda links: links.union(links.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    # Cells whose least known partners, followed for two steps, are the same share a cluster already.
+    least = both(sure).groupBy("src").agg(F.min("dst").alias("dst")).select("src", F.least("src", "dst").alias("mid"))
+    part = least.join(least.select(F.col("src").alias("mid"), F.col("mid").alias("part")), "mid").select("src", "part")
+    left, right = part.withColumnRenamed("part", "a"), part.select(F.col("src").alias("dst"), F.col("part").alias("b"))
+    apart = judged.filter(F.col("d") > reach).join(left, "src", "left").join(right, "dst", "left").filter(
+        F.coalesce(F.col("a") != F.col("b"), F.lit(True))
+    ).select("src", "dst")
+    near_box = lambda links, own, far, spot: links.join(
+        boxes.select(F.col("fine").alias(far), "low", "high"), far
+    ).join(core.select(F.col("fine").alias(own), F.col("at").alias(spot)), own).filter(_outside(F.col(spot), F.col("low"), F.col("high")) <= reach)
+    x = near_box(apart, "src", "dst", "at").select("src", "dst", "at")
+    y = near_box(apart, "dst", "src", "to").select("src", "dst", "to")
+    late = x.join(y, ["src", "dst"]).filter(_squared(F.col("at"), F.col("to")) <= reach).select("src", "dst").distinct()
+    return both(sure.union(late))
+
+
 def assign_topics(
     points: DataFrame, eps: float, min_samples: int = 10, min_cluster_size: int = 10, key: str = "paper_id",
-    x: str = "umap_x", y: str = "umap_y",
+    dims: Sequence[str] = ("umap_x", "umap_y"),
 ) -> DataFrame:
-    """Density clusters of 2-D points: topic id by falling size, -1 for noise, membership 0..1.
+    """Density clusters of points with any number of coordinates: topic id by falling size, -1 for noise, membership 0..1.
 
-    Works on grid cells, not on pairs of points: dense cells that touch belong together, components
-    below the least size are noise. However many points share one cell, it is one row in every step
-    but the first count and the last join. Membership is the density of the cell against the densest
-    of its cluster.
+    A point is core if `min_samples` points, itself included, lie within `eps`. Core points that near to each other share a
+    cluster; any other point within `eps` of a core point belongs to the nearest one's (ties: the smaller place), the rest
+    and clusters under the least size are noise. Membership is 1 for a core point and falls with the distance from the
+    nearest core point for others. Equal points are one spot with a count, so copies of a text never meet each other, and
+    neighbours meet by cells of side `eps` in equi-joins. A point with a missing coordinate is noise.
     """
-    side = eps / 2**0.5
-    cells = cut_lineage(grid_cells(points, eps, x, y))
-    ident = F.struct("cx", "cy")
-    dense = cut_lineage(dense_cells(cells, min_samples).select("cx", "cy", "n", "near", ident.alias("id")))
-    links = _neighbours(dense).filter(~((F.col("cx") == F.col("nx")) & (F.col("cy") == F.col("ny")))).join(
-        dense.select(F.col("cx").alias("nx"), F.col("cy").alias("ny")), ["nx", "ny"]
-    )
-    edges = links.select(
-        ident.alias("src"), F.struct(F.col("nx").alias("cx"), F.col("ny").alias("cy")).alias("dst")
-    )
-    member = connected(edges, dense).join(dense, "id")
-    sizes = member.groupBy("component").agg(F.sum("n").alias("size"), F.max("near").alias("peak"))
-    large = sizes.filter(F.col("size") >= min_cluster_size)
-    # One row per topic: at most points / min_cluster_size of them.
-    ranked = large.select("component", "peak", (F.row_number().over(
-        Window.orderBy(F.col("size").desc(), "component")
-    ) - 1).alias("topic_id"))
-    labels = member.join(ranked, "component").select(
-        "cx", "cy", "topic_id", (F.col("near") / F.col("peak")).alias("probability")
-    )
-    placed = points.select(
-        key, x, y, F.floor(F.col(x) / side).alias("cx"), F.floor(F.col(y) / side).alias("cy")
+    d = len(dims)
+    at = F.array(*[F.col(c).cast("double") for c in dims])
+    whole = F.forall(at, lambda x: x.isNotNull() & ~F.isnan(x))
+    spots = cut_lineage(points.filter(whole).groupBy(at.alias("at")).agg(F.count(F.lit(1)).alias("n")).select(
+        "at", "n", _cell(F.col("at"), eps).alias("cell"), _cell(F.col("at"), eps / d**0.5).alias("fine")
+    ))
+    pairs = cut_lineage(_around(spots.select("cell").distinct(), d))
+    judged = cut_lineage(_core_spots(spots, pairs, eps, min_samples))
+    core = judged.filter("core")
+    part = connected(_core_links(core, pairs, eps, d), core.select(F.col("fine").alias("id")).distinct())
+    inner = core.join(part.withColumnRenamed("id", "fine"), "fine").select("at", "n", "component", F.lit(1.0).alias("probability"))
+    edge = judged.filter("not core").select("at", "n", "cell").join(pairs, "cell").join(
+        core.select(F.col("cell").alias("next"), F.col("at").alias("to"), "fine"), "next"
     )
-    return placed.join(labels, ["cx", "cy"], "left").select(
-        key, x, y, F.coalesce("topic_id", F.lit(NOISE)).alias("topic_id"), "probability"
+    nearest = F.min(F.struct(_squared(F.col("at"), F.col("to")).alias("d"), "to", "fine"))
+    border = edge.groupBy("at", "n").agg(nearest.alias("w")).filter(F.col("w.d") <= eps * eps).select(
+        "at", "n", F.col("w.fine").alias("id"), (eps / (eps + F.sqrt("w.d"))).alias("probability")
+    ).join(part, "id").select("at", "n", "component", "probability")
+    member = cut_lineage(inner.union(border))
+    sizes = member.groupBy("component").agg(F.sum("n").alias("size"), F.min(F.when(F.col("probability") == 1, F.col("at"))).alias("least"))
+    large = numbered(sizes.filter(F.col("size") >= min_cluster_size), F.desc("size"), "least", name="topic_id")
+    labels = member.join(large.select("component", F.col("topic_id").cast("int").alias("topic_id")), "component").select("at", "topic_id", "probability")
+    return points.withColumn("at", at).join(labels, "at", "left").select(
+        key, *dims, F.coalesce("topic_id", F.lit(NOISE)).alias("topic_id"), "probability"
     )
 
 

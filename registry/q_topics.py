@@ -9,27 +9,51 @@ from corpuslens.plans import topic_model
 from registry.core import query
 from registry.q_text import words_sql
 
-EPS, MIN_SAMPLES, MIN_SIZE = 0.12, 8, 10
-
-CLUSTERS = f""", cells as (select cast(floor(umap_x / ({EPS}e0 / sqrt(2))) as bigint) as cx,
-      cast(floor(umap_y / ({EPS}e0 / sqrt(2))) as bigint) as cy, count(*) as n from points group by 1, 2),
-    dense as materialized (select a.cx, a.cy, any_value(a.n) as n, sum(b.n) as near from cells a join cells b
-      on abs(a.cx - b.cx) <= 1 and abs(a.cy - b.cy) <= 1 group by 1, 2 having sum(b.n) >= {MIN_SAMPLES}),
-    reach as (select cx, cy, cx as tx, cy as ty from dense union
-      select r.cx, r.cy, d.cx, d.cy from reach r join dense d on abs(r.tx - d.cx) <= 1 and abs(r.ty - d.cy) <= 1),
-    comp as (select cx, cy, min((tx, ty)) as component from reach group by 1, 2),
-    sizes as (select component, sum(n) as size, max(near) as peak from comp join dense using (cx, cy) group by 1),
-    ranked as (select component, peak, row_number() over (order by size desc, component) - 1 as topic_id
-      from sizes where size >= {MIN_SIZE}),
-    clusters as (select paper_id, coalesce(topic_id, -1) as topic_id, near / peak as probability from points
-      left join (select cx, cy, topic_id, near, peak from comp join dense using (cx, cy) join ranked using (component)) c
-      on c.cx = floor(umap_x / ({EPS}e0 / sqrt(2))) and c.cy = floor(umap_y / ({EPS}e0 / sqrt(2))))"""
+EPS, MIN_SAMPLES, MIN_SIZE = 0.025, 8, 10
+
+
+def clusters_sql(places: str, eps: float, min_samples: int, min_size: int) -> str:
+    """CTEs that end in clusters(paper_id, topic_id, probability): all pairs of `places` (paper_id, list of coordinates)."""
+    gap = "list_reduce(list_prepend(0e0, list_transform(list_zip(a.pos, b.pos), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), lambda s, x: s + x)"
+    return f""", places as materialized ({places}),
+    spots as materialized (select pos, count(*) as n from places group by 1),
+    gaps as materialized (select a.pos as pos, b.pos as other, b.n, {gap} as d from spots a, spots b where {gap} <= {eps}e0 * {eps}e0),
+    core as materialized (select pos from gaps group by 1 having sum(n) >= {min_samples}),
+    links as materialized (select pos, other from gaps where pos in (from core) and other in (from core)),
+    reach as (select pos, pos as target from core union select r.pos, l.other from reach r join links l on l.pos = r.target),
+    comp as materialized (select pos, min(target) as component from reach group by 1),
+    near as (select pos, first(other order by d, other) as other, min(d) as d from gaps
+      where pos not in (from core) and other in (from core) group by 1),
+    member as materialized (select pos, component, 1e0 as probability from comp union all
+      select near.pos, component, {eps}e0 / ({eps}e0 + sqrt(d)) from near join comp on comp.pos = near.other),
+    ranked as (select component, row_number() over (order by sum(n) desc, component) - 1 as topic_id
+      from member join spots using (pos) group by 1 having sum(n) >= {min_size}),
+    clusters as (select paper_id, coalesce(topic_id, -1) as topic_id, case when topic_id is not null then probability end as probability
+      from places left join member using (pos) left join ranked using (component))"""
+
+
+CLUSTERS = clusters_sql("select paper_id, [umap_x, umap_y] as pos from points", EPS, MIN_SAMPLES, MIN_SIZE)
+EPS_5, SAMPLES_5 = 0.13, 6
+CLUSTERS_5 = clusters_sql(
+    "select cast(vec_id as varchar) as paper_id, list_transform(embedding[1:5], lambda x: cast(x as double)) as pos from embeddings",
+    EPS_5, SAMPLES_5, MIN_SIZE,
+)
 
 
 def clusters(v):
     return tp.assign_topics(v.points, EPS, MIN_SAMPLES, MIN_SIZE)
 
 
+@query("points", sql=CLUSTERS_5 + " select paper_id, topic_id, round(probability, 6) as probability from clusters")
+def assign_topics_in_five_dimensions(v):
+    names = [f"c{i}" for i in range(5)]
+    places = v.table("embeddings").select(
+        F.col("vec_id").cast("string").alias("paper_id"), *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(names)]
+    )
+    found = tp.assign_topics(places, EPS_5, SAMPLES_5, MIN_SIZE, dims=names)
+    return found.select("paper_id", "topic_id", F.round("probability", 6).alias("probability"))
+
+
 @query("points", sql=f"{CLUSTERS} select paper_id, topic_id, round(probability, 6) as probability from clusters")
 def assign_topics(v):
     return clusters(v).select("paper_id", "topic_id", F.round("probability", 6).alias("probability"))

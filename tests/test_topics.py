@@ -5,10 +5,12 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.ml.feature import HashingTF
 from pyspark.sql import functions as F
 
 from corpuslens.operators import topics as tp
+from corpuslens.operators.numbering import numbered
 from corpuslens.plans import topic_model
 
 
@@ -40,41 +42,71 @@ def test_encoder_equals_brute_force(spark):
 
 
 def clusters_by_hand(points, eps, min_samples, min_size):
-    side = eps / math.sqrt(2)
-    cell = {p: (math.floor(x / side), math.floor(y / side)) for p, x, y in points}
-    n = Counter(cell.values())
-
-    def around(c):
-        return [(c[0] + a, c[1] + b) for a in (-1, 0, 1) for b in (-1, 0, 1)]
-
-    dense = {c for c in n if sum(n[d] for d in around(c)) >= min_samples}
-    groups, seen = [], set()
-    for c in sorted(dense):
-        if c in seen:
+    """Topic of each point, and which are border points, from all pairs."""
+    at = np.array([p[1:] for p in points], float)
+    gap = ((at[:, None] - at[None]) ** 2).sum(-1)
+    near = gap <= eps * eps
+    core = near.sum(1) >= min_samples
+    component = {}
+    for i in np.flatnonzero(core):
+        if i in component:
             continue
-        stack, group = [c], set()
+        stack = [i]
         while stack:
-            d = stack.pop()
-            if d not in group:
-                group.add(d)
-                stack += [e for e in around(d) if e in dense]
-        seen |= group
-        groups.append(group)
-    big = [g for g in groups if sum(n[c] for c in g) >= min_size]
-    big.sort(key=lambda g: (-sum(n[c] for c in g), min(g)))
-    label = {c: k for k, g in enumerate(big) for c in g}
-    return {p: label.get(c, -1) for p, c in cell.items()}
-
-
-def test_clusters_equal_brute_force_even_with_a_crowded_cell(spark):
-    rng = random.Random(9)
-    points = [(f"p{i}", rng.gauss(0, 0.5), rng.gauss(0, 0.5)) for i in range(300)]
-    points += [(f"q{i}", 5 + rng.random() * 3, 5 + rng.random() * 0.1) for i in range(80)]
-    points += [(f"hot{i}", -3.0, -3.0) for i in range(200)]
+            j = stack.pop()
+            if j not in component:
+                component[j] = i
+                stack += list(np.flatnonzero(near[j] & core))
+    border = {}
+    for i in np.flatnonzero(~core):
+        others = np.flatnonzero(near[i] & core)
+        if len(others):
+            border[i] = min(others, key=lambda j: (gap[i, j], tuple(at[j])))
+    member = {**component, **{i: component[j] for i, j in border.items()}}
+    size = Counter(member.values())
+    least = {c: min(tuple(at[i]) for i in component if component[i] == c) for c in size}
+    rank = {c: k for k, c in enumerate(sorted((c for c in size if size[c] >= min_size), key=lambda c: (-size[c], least[c])))}
+    return {p[0]: rank.get(member.get(i), -1) for i, p in enumerate(points)}, {points[i][0] for i in border}
+
+
+@pytest.mark.parametrize("dims", [1, 2, 3, 5])
+def test_clusters_equal_all_pairs_even_with_a_crowded_place(spark, dims):
+    rng = random.Random(dims)
+    points = [(f"p{i}", *(rng.gauss(0, 0.5) for _ in range(dims))) for i in range(260)]
+    points += [(f"q{i}", 5 + rng.random() * 3, *(5 + rng.random() * 0.1 for _ in range(dims - 1))) for i in range(80)]
+    points += [(f"hot{i}", *[-3.0] * dims) for i in range(200)] + [("by", -3.2, *[-3.0] * (dims - 1))]
+    names = [f"c{i}" for i in range(dims)]
+    df = spark.createDataFrame(points, "paper_id string, " + ", ".join(f"{c} double" for c in names))
+    eps = {1: 0.02, 2: 0.13, 3: 0.25, 5: 0.55}[dims]
+    want, border = clusters_by_hand(points, eps, 6, 12)
+    rows = {r.paper_id: r for r in tp.assign_topics(df, eps, 6, 12, dims=names).collect()}
+    assert {k: r.topic_id for k, r in rows.items()} == want and len(set(want.values())) >= 3
+    held = [p for p in border if want[p] >= 0]
+    assert held and all(0.5 <= rows[p].probability < 1 for p in held)
+    assert all(rows[p].probability == 1 for p in want if want[p] >= 0 and p not in border)
+
+
+def test_dense_parts_that_touch_at_one_pair_of_points(spark):
+    """Two lines whose ends are just within reach, and a third that is just out of it."""
+    points = [(f"a{i}", i * 0.01, 0.0) for i in range(100)] + [(f"b{i}", 0.99 + 0.0999 + i * 0.01, 0.0) for i in range(100)]
+    points += [(f"c{i}", 0.5 + i * 0.01, 0.1001) for i in range(50)] + [("none", None, 0.0), ("nan", float("nan"), 0.0)]
     df = spark.createDataFrame(points, "paper_id string, umap_x double, umap_y double")
-    got = {r.paper_id: r.topic_id for r in tp.assign_topics(df, 0.3, 6, 20).collect()}
-    want = clusters_by_hand(points, 0.3, 6, 20)
-    assert got == want and len(set(want.values())) >= 3
+    got = {r.paper_id: r.topic_id for r in tp.assign_topics(df, 0.1, 4, 5).collect()}
+    want, _ = clusters_by_hand(points[:-2], 0.1, 4, 5)
+    assert got == {**want, "none": -1, "nan": -1} and set(want.values()) == {0, 1}
+
+
+@pytest.mark.parametrize("n", [0, 1, 1000])
+def test_numbers_are_consecutive_over_all_parts(spark, n):
+    rng = random.Random(n)
+    rows = [(rng.randrange(50), i) for i in range(n)]
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        got = numbered(spark.createDataFrame(rows, "a int, b int").repartition(5), F.desc("a"), "b").collect()
+    finally:
+        spark.conf.set(key, "true")
+    assert sorted((r.number, r.a, r.b) for r in got) == [(k, a, b) for k, (a, b) in enumerate(sorted(rows, key=lambda r: (-r[0], r[1])))]
 
 
 def test_long_chain_is_one_component(spark):
