@@ -54,13 +54,13 @@ with words.<p>Two &lt;x&gt; &quot;q&quot;</p><form><input value="f">Send</form><
 
 
 def test_main_text():
-    blocks = html_text.read_blocks(PAGE)
+    page = html_text.read_page(PAGE)
     want = 'The & title One bold line, with words. Two <x> "q" Item Next'
-    assert html_text.main_text(blocks, None) == want
-    path = next(b[0] for b in blocks if b[2].startswith("The"))
-    assert path[:3] == ("html", "body", "article.post.post-")
-    assert html_text.main_text(blocks, "html/body/article.post.post-") == html_text.main_text(blocks, "no/such") == want
-    assert html_text.main_text(html_text.read_blocks("plain text, no tags"), None) == "plain text, no tags"
+    assert html_text.main_text(page, None) == want
+    first = next(e for e, t, _ in page.blocks if t.startswith("The"))
+    assert html_text.path_of(page, first).startswith("html/body/article.post.post-/")
+    assert html_text.main_text(page, "html/body/article.post.post-") == html_text.main_text(page, "no/such") == want
+    assert html_text.main_text(html_text.read_page("plain text, no tags"), None) == "plain text, no tags"
 
 
 def test_hosts_vote(spark):
