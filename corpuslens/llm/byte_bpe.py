@@ -53,11 +53,15 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*arrays, np.zeros(0, np.int32)]).astype(np.int32)))
 
 
+#: Characters that a pre-token's end can depend on beyond it.
+LONGEST_SUFFIX = 3
+
+
 def stitch(chunks: pd.DataFrame, pattern: regex.Pattern, chunk: int) -> Iterator[tuple[int, int, int] | str]:
     """What makes up one text: (chunk, first piece, end piece) runs, and pre-tokens that had to be found anew.
 
     `chunks` has, in order, start, text and starts (of its pre-tokens, from the text's beginning). A pre-token that ends
-    before its chunk does is right if it begins right, since the pattern never looks back; so from the first
+    well before its chunk does is right if it begins right, since the pattern never looks back; so from the first
     boundary that both neighbours share, the right one goes on. Where they share none in the overlap, pre-tokens
     are found one by one until a boundary of a later chunk is met.
     """
@@ -74,7 +78,8 @@ def stitch(chunks: pd.DataFrame, pattern: regex.Pattern, chunk: int) -> Iterator
         if k == n - 1:
             yield k, i, len(starts[k])
             return
-        right = ends[k][i:] < chunks["start"].iloc[k] + len(chunks["text"].iloc[k])
+        # A cut inside 're, 'll or 've ends the mark too early, so what ends near the cut isn't trusted either.
+        right = ends[k][i:] + LONGEST_SUFFIX < chunks["start"].iloc[k] + len(chunks["text"].iloc[k])
         stop = i + int(right.sum())
         common = np.intersect1d(ends[k][i:stop], starts[k + 1])
         if len(common):
@@ -121,7 +126,10 @@ def encode(
 
     size = F.coalesce(F.length("text"), F.lit(0))
     near = rows.filter(size <= chunk).mapInArrow(short, schema)
-    long = rows.filter(size > chunk).withColumn("_row", F.monotonically_increasing_id())
+    key = "_row"
+    while key in rows.columns:
+        key += "_"
+    long = rows.filter(size > chunk).withColumn(key, F.monotonically_increasing_id())
     width = chunk + overlap
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -151,12 +159,13 @@ def encode(
             out.append(encoder.encode(x) if isinstance(x, str) else group["ids"][x[0]][marks[x[0]][x[1]] : marks[x[0]][x[2]]])
         return pd.DataFrame({"_row": group["_row"].iloc[:1], "tokens": [np.concatenate(out)]})
 
-    encoded = long.select("_row", "text").mapInPandas(cut, "_row long, start long, text string").repartition(
+    encoded = long.select(F.col(key).alias("_row"), "text").mapInPandas(cut, "_row long, start long, text string").repartition(
         "_row", "start"
     ).mapInPandas(pieces, "_row long, start long, text string, starts array<long>, counts array<long>, ids array<int>").groupBy(
         "_row"
     ).applyInPandas(whole, "_row long, tokens array<int>")
-    return near.unionByName(long.join(encoded, "_row").drop("_row"))
+    found = encoded.select(F.col("_row").alias(key), F.col("tokens"))
+    return near.unionByName(long.join(found, key).drop(key))
 
 
 def decoder(spark: SparkSession, ranks: dict[bytes, int]):
