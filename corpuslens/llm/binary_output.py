@@ -6,10 +6,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from corpuslens.llm.common import table
 from corpuslens.session import working_path
@@ -87,11 +89,13 @@ def pack_documents(documents: DataFrame, width: int = 4096, shard_tokens: int =
     table gives no rows; other columns are not carried.
     """
 
-    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    layout = to_arrow_schema(T.StructType.fromDDL(SCHEMA))
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         part, shard, held, size = task.partitionId() if task else 0, 0, [], 0
 
-        def flush() -> pd.DataFrame:
+        def flush() -> pa.RecordBatch:
             nonlocal shard
             pieces = [(doc, at, ids[at : at + width]) for doc, ids in held for at in range(0, len(ids), width)]
             rows = []
@@ -106,12 +110,12 @@ def pack_documents(documents: DataFrame, width: int = 4096, shard_tokens: int =
                 ))
             shard += 1
             held.clear()
-            return pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")])
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), layout, strict=True)], schema=layout)
 
         for b in batches:
-            for doc, text in zip(b["doc_id"].astype(object), b["text"], strict=True):
+            for doc, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True):
                 ids = tokenize(text)
-                held.append((None if pd.isna(doc) else int(doc), ids))
+                held.append((doc, ids))
                 size += len(ids)
                 if size >= shard_tokens:
                     yield flush()
@@ -119,7 +123,7 @@ def pack_documents(documents: DataFrame, width: int = 4096, shard_tokens: int =
         if held:
             yield flush()
 
-    return documents.select("doc_id", "text").mapInPandas(packed, SCHEMA)
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(packed, SCHEMA)
 
 
 def write_packed(packed: DataFrame, path: str) -> DataFrame:
