@@ -220,3 +220,33 @@ def test_kept_rows_keep_columns_of_any_name(spark):
     text = " ".join(f"word{i}" for i in range(30)) + "."
     df = spark.createDataFrame([(1, text, "mine", 7, None), (2, "short", "x", 1, 1)], "doc_id long, text string, kept string, n_words int, lost_chars long")
     assert [tuple(r) for r in quality.keep_good(df).collect()] == [(1, text, "mine", 7, None)]
+
+
+BIG = [(9007199254740993, "One text here."), (None, "no id"), (9007199254740995, None)]
+
+
+def test_large_ids_survive_next_to_null_ids(spark):
+    df = spark.createDataFrame(BIG, "doc_id long, text string").coalesce(1)
+    packed = binary_output.pack_documents(df).collect()
+    assert sorted(i or 0 for r in packed for i in r.doc_ids) == [0, 9007199254740993, 9007199254740995]
+    counts = maxent.word_counts(df)
+    scored = maxent.score(df, maxent.train(df, counts), counts).collect()
+    assert sorted(r.doc_id or 0 for r in scored) == [0, 9007199254740993, 9007199254740995]
+
+
+def test_bpe_keeps_columns_of_any_name(spark):
+    text = "it's they'll we've " * 50
+    df = spark.createDataFrame([(1, text, "a", "b")], "doc_id long, text string, _row string, _row_ string")
+    for chunk, overlap in ((50, 10), (64, 5), (41, 7)):
+        r = byte_bpe.encode(df, RANKS, public_tokenizers.PATTERN, chunk, overlap).first()
+        assert (r._row, r._row_) == ("a", "b") and r.tokens == LIBRARY.encode_ordinary(text)
+
+
+def test_chunks_cut_inside_short_suffixes(spark):
+    rng = np.random.default_rng(5)
+    parts = ["'re", "'ll", "'ve", "'s", "we", " I", "  ", "\n", "x1", "!"]
+    rows = [(i, "".join(rng.choice(parts, 40))) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for overlap in (2, 4, 9):
+        got = byte_bpe.encode(df, RANKS, public_tokenizers.PATTERN, 17, overlap).collect()
+        assert [r.doc_id for r in got if r.tokens != LIBRARY.encode_ordinary(r.text)] == []
