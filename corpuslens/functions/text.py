@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Callable, Sequence
-from functools import reduce
+from functools import lru_cache, reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -70,19 +70,49 @@ def squeeze(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, F.lit(r"(?U)\s+"), F.lit(" ")))
 
 
+@lru_cache(1)
+def _changing() -> str:
+    """Pattern of the characters that a text in another form than NFC has at least one of: marks, the jamo that join a
+    syllable, and characters that NFC replaces by others, found by asking it."""
+    replaced = [c for c in range(0x80, 0x30000) if not 0xD800 <= c < 0xE000 and unicodedata.normalize("NFC", chr(c)) != chr(c)]
+    ranges: list[list[int]] = []
+    for c in replaced:
+        if ranges and c == ranges[-1][1] + 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return r"[\p{M}\x{1161}-\x{1175}\x{11A8}-\x{11C2}" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges) + "]"
+
+
+def may_change(text: Column) -> Column:
+    """Whether NFC can change a text."""
+    return F.regexp_like(text, F.lit(_changing()))
+
+
 def composed(text: Column) -> Column:
-    """NFC of a text. Only texts with a character from U+0300 up can change, so only these reach Python."""
-    return F.coalesce(nfc(F.when(F.regexp_like(text, F.lit("[^\\x{0}-\\x{2FF}]")), text)), text)
+    """NFC of a text. Only texts that it can change are handed to Python."""
+    return F.coalesce(nfc(F.when(may_change(text), text)), text)
+
+
+def _stripped(text: Column) -> Column:
+    return strip_urls(strip_markup(F.coalesce(text, F.lit(""))))
 
 
 def clean(text: Column, normalise: bool = True) -> Column:
-    """Plain text of an abstract in NFC; NULL becomes the empty string."""
-    stripped = strip_urls(strip_markup(F.coalesce(text, F.lit(""))))
+    """Plain text of an abstract in NFC; NULL becomes the empty string. Of a whole column, `clean_text` strips each text
+    once only."""
+    stripped = _stripped(text)
     return squeeze(strip_controls(composed(stripped) if normalise else stripped))
 
 
-def clean_text(df: DataFrame, column: str, output: str = "clean", normalise: bool = True) -> DataFrame:
-    return df.withColumn(output, clean(F.col(column), normalise))
+def clean_text(df: DataFrame, text: str | Column, output: str = "clean", normalise: bool = True) -> DataFrame:
+    """`df` with the plain text of a column. The stripped text is a column of its own while NFC looks at it."""
+    column = F.col(text) if isinstance(text, str) else text
+    if not normalise:
+        return df.withColumn(output, clean(column, False))
+    bare = df.withColumn("_stripped", _stripped(column))
+    normal = bare.withColumn("_normal", nfc(F.when(may_change(F.col("_stripped")), F.col("_stripped"))))
+    return normal.withColumn(output, squeeze(strip_controls(F.coalesce("_normal", "_stripped")))).drop("_stripped", "_normal")
 
 
 def sentences(text: Column) -> Column:

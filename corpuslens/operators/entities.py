@@ -37,10 +37,10 @@ def prioritise_sections(
 
 def prepare_for_tagging(papers: DataFrame, text: str = "abstract", least: int = 50) -> DataFrame:
     """Clean, sentence-joined texts that are long enough."""
-    cleaned = tx.rejoin_sentences(tx.clean(F.col(text)))
+    cleaned = tx.clean_text(papers, text, "_clean")
     # A filter on the clean text would be moved below it and clean every text twice.
-    kept = F.filter(F.array(cleaned), lambda t: F.length(t) >= least)
-    return tx.unfold(papers, kept, "text", "paper_id")
+    kept = F.filter(F.array(tx.rejoin_sentences(F.col("_clean"))), lambda t: F.length(t) >= least)
+    return tx.unfold(cleaned, kept, "text", "paper_id")
 
 
 def tag_with_model(texts: DataFrame, load: Callable[[], Callable[[list[str]], list[list[dict]]]]) -> DataFrame:

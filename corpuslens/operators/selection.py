@@ -230,8 +230,8 @@ def classify_with_model(
 
 def paper_sentences(papers: DataFrame) -> DataFrame:
     """Clean sentences of the body, or of the abstract where there is no body."""
-    text = tx.clean(F.coalesce("full_text", "abstract"))
-    return tx.unfold(papers, tx.sentences(text), "sentence", "paper_id", pos="pos")
+    cleaned = tx.clean_text(papers, F.coalesce("full_text", "abstract"), "_clean")
+    return tx.unfold(cleaned, tx.sentences(F.col("_clean")), "sentence", "paper_id", pos="pos")
 
 
 def top_sentences(

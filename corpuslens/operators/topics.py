@@ -263,29 +263,50 @@ def cluster_quality(topics: DataFrame) -> DataFrame:
     )
 
 
+def _merges(vectors: DataFrame, sizes: DataFrame, digits: int = 9) -> DataFrame:
+    """(src, dst, cosine) of the topics that are each other's most similar, src into dst, the larger (ties: smaller id).
+
+    Topics meet by their shared words. Ties go to smaller ids, so the most similar pair of all is always among them.
+    """
+    norms = vectors.groupBy("topic_id").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm"))
+    unit = vectors.join(norms, "topic_id").select("topic_id", "term", (F.col("weight") / F.col("norm")).alias("v"))
+    left, right = unit.select("term", F.col("topic_id").alias("a"), "v"), unit.select("term", F.col("topic_id").alias("b"), F.col("v").alias("u"))
+    cosine = left.join(right, "term").filter("a != b").groupBy("a", "b").agg(F.round(F.sum(F.col("v") * F.col("u")), digits).alias("c"))
+    nearest = cosine.groupBy("a").agg(F.min(F.struct((-F.col("c")).alias("c"), "b")).alias("w")).select("a", F.col("w.b").alias("b"), (-F.col("w.c")).alias("c"))
+    back = nearest.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    size = lambda name, out: sizes.select(F.col("topic_id").alias(name), F.col("size").alias(out))
+    mutual = nearest.join(back, ["a", "b"]).filter("a < b").join(size("a", "sa"), "a").join(size("b", "sb"), "b")
+    into_a = F.col("sa") >= F.col("sb")
+    return mutual.select(
+        F.when(into_a, F.col("b")).otherwise(F.col("a")).alias("src"), F.when(into_a, F.col("a")).otherwise(F.col("b")).alias("dst"), F.col("c").alias("cosine")
+    )
+
+
 def reduce_topics(topics: DataFrame, weights: DataFrame, n: int) -> DataFrame:
-    """Topic map (topic_id, merged_id) that leaves the `n` largest topics.
+    """Topic map (topic_id, merged_id) that leaves `n` topics, merging the most similar ones in rounds.
 
-    Every smaller topic joins the large one whose word weights are the most similar by cosine. Only
-    the few large topics meet the small ones, word by word, never topics with all topics.
+    In each round topics that are each other's most similar merge, the most similar first, never more than are too many;
+    the word weights of what merges are added up. A merged topic has the id of its largest member. Topics that share no
+    word with any other stay until the end; if they are still too many, the smallest join the largest of all.
     """
     sizes = topics.filter(F.col("topic_id") != NOISE).groupBy("topic_id").agg(F.count(F.lit(1)).alias("size"))
-    # `n` rows by construction.
-    large = F.broadcast(sizes.orderBy(F.col("size").desc(), "topic_id").limit(n).select("topic_id"))
-    small = sizes.join(large, "topic_id", "left_anti").select("topic_id")
-    norms = weights.groupBy("topic_id").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm"))
-    vectors = weights.join(norms, "topic_id").select("topic_id", "term", (F.col("weight") / F.col("norm")).alias("v"))
-    left = vectors.join(small, "topic_id").select("topic_id", "term", "v")
-    right = vectors.join(large, "topic_id").select(F.col("topic_id").alias("into"), "term", F.col("v").alias("u"))
-    cosine = left.join(right, "term").groupBy("topic_id", "into").agg(F.sum(F.col("v") * F.col("u")).alias("cosine"))
-    nearest = cosine.groupBy("topic_id").agg(
-        F.min(F.struct(F.round(-F.col("cosine"), 9).alias("c"), "into"))["into"].alias("into")
-    )
-    fallback = large.agg(F.min("topic_id").alias("t")).scalar()
-    merged = small.join(nearest, "topic_id", "left").select(
-        "topic_id", F.coalesce("into", fallback).alias("merged_id")
-    )
-    return merged.unionAll(large.select("topic_id", F.col("topic_id").alias("merged_id")))
+    sizes = cut_lineage(sizes)
+    vectors = cut_lineage(weights.filter(F.col("topic_id") != NOISE).select("topic_id", "term", "weight").join(sizes.select("topic_id"), "topic_id"))
+    merged = sizes.select("topic_id", F.col("topic_id").alias("merged_id"))
+    while (over := sizes.count() - n) > 0:
+        # At most as many rows as topics are too many.
+        step = cut_lineage(_merges(vectors, sizes).orderBy(F.desc("cosine"), "dst", "src").limit(over).select("src", "dst"))
+        if step.isEmpty():
+            largest = sizes.orderBy(F.desc("size"), "topic_id").limit(1).select(F.col("topic_id").alias("dst"))
+            smallest = sizes.orderBy("size", F.desc("topic_id")).limit(over).select(F.col("topic_id").alias("src"))
+            step = cut_lineage(smallest.withColumn("dst", largest.scalar()))
+        moved = lambda rows, name: rows.join(
+            step.select(F.col("src").alias(name), F.col("dst").alias("_to")), name, "left"
+        ).withColumn(name, F.coalesce("_to", name)).drop("_to")
+        merged = cut_lineage(moved(merged, "merged_id"))
+        sizes = cut_lineage(moved(sizes, "topic_id").groupBy("topic_id").agg(F.sum("size").alias("size")))
+        vectors = cut_lineage(moved(vectors, "topic_id").groupBy("topic_id", "term").agg(F.sum("weight").alias("weight")))
+    return merged.select("topic_id", "merged_id")
 
 
 def apply_reduction(topics: DataFrame, merged: DataFrame) -> DataFrame:

@@ -27,7 +27,8 @@ def fit(
 
     Clean texts and vectors are read by several passes, so each is written to the shared folder once.
     """
-    docs = cut_lineage(papers.select("paper_id", tx.rejoin_sentences(tx.clean(F.col(text))).alias("text")))
+    cleaned = tx.clean_text(papers, text, "_clean")
+    docs = cut_lineage(cleaned.select("paper_id", tx.rejoin_sentences(F.col("_clean")).alias("text")))
     points = cut_lineage(tp.project_2d(cut_lineage(encode(docs, dims=dims))))
     topics = cut_lineage(tp.assign_topics(points, eps, min_samples, min_cluster_size))
     counts = tp.topic_word_counts(docs, topics)

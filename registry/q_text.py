@@ -57,7 +57,7 @@ def clean_pages(v):
 
 @query(sql=f"select doc_id, {clean_sql('text', False)} as clean from documents")
 def clean_documents(v):
-    return v.table("documents").select("doc_id", tx.clean(F.col("text")).alias("clean"))
+    return tx.clean_text(v.table("documents"), "text").select("doc_id", "clean")
 
 
 MARKUP = (
@@ -71,7 +71,7 @@ MARKUP = (
 def clean_markup(v):
     """Formulas, formatting macros, links and references around every document."""
     rows = v.table("documents").select("doc_id", F.expr(MARKUP).alias("m"))
-    return rows.select("doc_id", tx.clean(F.col("m")).alias("clean"))
+    return tx.clean_text(rows, "m").select("doc_id", "clean")
 
 
 @query(sql=f"""select doc_id, sentence, pos from (select doc_id, unnest({sentences_sql('text')}) as sentence,
@@ -82,9 +82,7 @@ def split_sentences(v):
 
 @query(sql=f"""select doc_id, array_to_string({sentences_sql(clean_sql('text', False))}, ' ') as text from documents""")
 def rejoin_sentences(v):
-    return v.table("documents").select(
-        "doc_id", tx.rejoin_sentences(tx.clean(F.col("text"))).alias("text")
-    )
+    return tx.clean_text(v.table("documents"), "text").select("doc_id", tx.rejoin_sentences(F.col("clean")).alias("text"))
 
 
 @query(sql=rf"""select doc_id, array_to_string(list_transform(list_filter(list_transform(
@@ -134,4 +132,4 @@ _MARKED = "replace(replace(text, 'en', 'e' || chr(769)), 'on', 'n' || chr(771))"
 def clean_decomposed(v):
     """Letters written with combining marks come out composed, whatever the text held before."""
     marked = F.replace(F.replace("text", F.lit("en"), F.lit("e\u0301")), F.lit("on"), F.lit("n\u0303"))
-    return v.table("documents").select("doc_id", tx.clean(marked).alias("clean"))
+    return tx.clean_text(v.table("documents"), marked).select("doc_id", "clean")

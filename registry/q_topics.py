@@ -116,15 +116,24 @@ def label_and_place(v):
     return tp.merge_coordinates(tp.label_assignments(topics(v), info), v.texts)
 
 
-@query("texts", sql=f"""{WEIGHTS}, sizes as (select topic_cluster_id as topic_id, count(*) as size from texts
+REDUCED = f"""{WEIGHTS}, sizes as (select topic_cluster_id as topic_id, count(*) as size from texts
       where topic_cluster_id <> -1 group by 1),
-    big as (select topic_id from sizes order by size desc, topic_id limit 4),
-    unit as (select topic_id, term, weight / sqrt(sum(weight * weight) over (partition by topic_id)) as u from weights),
-    cosine as (select a.topic_id, b.topic_id as into_id, sum(a.u * b.u) as c from unit a join unit b using (term)
-      where a.topic_id <> -1 and a.topic_id not in (select topic_id from big) and b.topic_id in (select topic_id from big)
-      group by 1, 2)
-    select topic_id, into_id as merged_id from (select *, row_number() over (partition by topic_id
-      order by round(-c, 9), into_id) as rn from cosine) where rn = 1 union all select topic_id, topic_id from big""")
+    rounds as (select 0 as i, topic_id, topic_id as grp from sizes union all (
+      with held as (select r.grp, sum(size) as size from rounds r join sizes using (topic_id) group by 1),
+      vec as (select r.grp, term, sum(weight) as w from rounds r join weights using (topic_id) group by 1, 2),
+      unit as (select grp, term, w / sqrt(sum(w * w) over (partition by grp)) as u from vec),
+      cosine as (select a.grp as a, b.grp as b, round(sum(a.u * b.u), 9) as c from unit a join unit b using (term)
+        where a.grp <> b.grp group by 1, 2),
+      nearest as (select a, first(b order by c desc, b) as b, max(c) as c from cosine group by 1),
+      pairs as (select x.a, x.b, x.c, ha.size as sa, hb.size as sb from nearest x join nearest y on y.a = x.b and y.b = x.a
+        join held ha on ha.grp = x.a join held hb on hb.grp = x.b where x.a < x.b),
+      merges as (select case when sa >= sb then b else a end as src, case when sa >= sb then a else b end as dst, c from pairs),
+      chosen as (select src, dst, row_number() over (order by c desc, dst, src) as rn from merges)
+      select r.i + 1, r.topic_id, coalesce(m.dst, r.grp) from rounds r left join (select * from chosen
+        where rn <= (select count(*) from held) - 4) m on m.src = r.grp where (select count(*) from held) > 4))"""
+
+
+@query("texts", sql=f"""{REDUCED} select topic_id, grp as merged_id from rounds where i = (select max(i) from rounds)""")
 def reduce_topics(v):
     return tp.reduce_topics(topics(v), weights(v), 4)
 

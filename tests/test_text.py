@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuslens.functions import identifiers as ids
 from corpuslens.functions import text as tx
-from corpuslens.functions.stem import porter
+from porter import porter
 
 CASES = [
     ("We use $$a\n+ b$$ and \\[c\\] here", "We use and here"),
@@ -95,3 +95,13 @@ def test_ids(spark, raw, short, lookup, preprint):
 ])
 def test_porter(word, stem):
     assert porter(word) == stem
+
+
+def test_only_texts_that_nfc_can_change_reach_python(spark):
+    """Every text in another form has a character of the pattern, and plain punctuation has none."""
+    odd = [chr(c) for c in range(0x80, 0x30000) if not 0xD800 <= c < 0xE000 and unicodedata.normalize("NFC", chr(c)) != chr(c)]
+    made = [unicodedata.normalize("NFD", chr(c)) for c in range(0xC0, 0xD7A4) if not 0xD800 <= c < 0xE000 and unicodedata.normalize("NFD", chr(c)) != chr(c)]
+    plain = ["It\u2019s \u201cplain\u201d \u2013 caf\u00e9\u2026", "", "\u6f22\u5b57", "\ud55c\uae00"]
+    df = spark.createDataFrame([(t,) for t in [*odd, *made, *plain]], "t string").select("t", tx.may_change(F.col("t")).alias("m"))
+    assert {r.t for r in df.collect() if r.m} >= {t for t in (*odd, *made) if not unicodedata.is_normalized("NFC", t)}
+    assert not any(r.m for r in df.collect() if r.t in plain)

@@ -133,6 +133,56 @@ def test_topic_words_and_merge(spark):
     assert {r.paper_id: r.topic_id for r in final.collect()} == {"a": 0, "b": 0, "c": 1, "d": 1}
 
 
+def merged_by_hand(vectors, size, n):
+    """Rounds of mutual merges over plain dictionaries."""
+    vectors, size = {t: dict(v) for t, v in vectors.items()}, dict(size)
+    to = {t: t for t in size}
+    while len(size) > n:
+        def cosine(a, b):
+            shared = vectors[a].keys() & vectors[b].keys()
+            length = [math.sqrt(sum(x * x for x in vectors[t].values())) for t in (a, b)]
+            return round(sum(vectors[a][w] * vectors[b][w] for w in shared) / length[0] / length[1], 9) if shared else None
+        near = {}
+        for a in size:
+            found = [(-c, b) for b in size if b != a and (c := cosine(a, b)) is not None]
+            if found:
+                near[a] = min(found)
+        pairs = []
+        for a, (c, b) in near.items():
+            if a < b and near[b][1] == a:
+                src, dst = (b, a) if size[a] >= size[b] else (a, b)
+                pairs.append((c, dst, src))
+        over = len(size) - n
+        if not pairs:
+            largest = min(size, key=lambda t: (-size[t], t))
+            pairs = [(0, largest, t) for t in sorted(size, key=lambda t: (size[t], -t))[:over]]
+        for _, dst, src in sorted(pairs)[:over]:
+            to = {t: dst if g == src else g for t, g in to.items()}
+            size[dst] += size.pop(src)
+            for w, x in vectors.pop(src).items():
+                vectors[dst][w] = vectors[dst].get(w, 0) + x
+    return to
+
+
+@pytest.mark.parametrize("n", [1, 3, 6])
+def test_similar_topics_merge_in_rounds(spark, n):
+    """Two small topics on the same matter merge with each other, not with the largest."""
+    rng = random.Random(4)
+    matters = [[f"m{m}w{i}" for i in range(6)] + ["common"] for m in range(4)] + [["alone1"], ["alone2"]]
+    vectors, rows = {}, []
+    for t in range(12):
+        words = matters[t % 4] if t < 10 else matters[t - 6]
+        vectors[t] = {w: rng.uniform(0.1, 1) for w in words}
+        rows += [(f"p{t}_{i}", t) for i in range(rng.randint(1, 9))]
+    size = Counter(t for _, t in rows)
+    topics = spark.createDataFrame(rows + [("x", -1)], "paper_id string, topic_id int")
+    weights = spark.createDataFrame([(t, w, 1, x) for t, v in vectors.items() for w, x in v.items()], "topic_id int, term string, tf long, weight double")
+    got = {r.topic_id: r.merged_id for r in tp.reduce_topics(topics, weights, n).collect()}
+    assert got == merged_by_hand(vectors, size, n) and len(set(got.values())) == n
+    if n == 6:
+        assert {frozenset(t % 4 for t in got if t < 10 and got[t] == g) for g in set(got.values()) if g < 10} == {frozenset([m]) for m in range(4)}
+
+
 def test_model_encoder_and_whole_run(spark):
     def load():
         return lambda texts: np.array([[len(t) % 7 + 1.0, "graph" in t] for t in texts])
