@@ -51,43 +51,51 @@ def append_batches(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+#: Parts of what is stored of a batch, by a hash of the key.
+BUCKETS = 32
+
+
 def store_new(path: str, at: str = "ingested_at", key: str = "paper_id") -> Callable[[DataFrame, int], None]:
     """Sink that keeps the earliest record of each key in a batch, unless an earlier batch has stored the key.
 
-    What is stored decides, not a watermark, so a backfill of any age is taken in and no key is forgotten. Only
-    the keys of earlier batches are read. A repeated batch replaces its own folder; records without a time come last.
+    What is stored decides, not a watermark, so a backfill of any age is taken in and no key is forgotten. Of earlier
+    batches only the keys are read, and only in the parts that keys of this batch fall into. A repeated batch replaces
+    its own folder; records without a time come last.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = consolidate.first_row(batch, key, F.col(at).asc_nulls_last(), F.xxhash64(*batch.columns))
+        part = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(BUCKETS)).cast("int")
+        rows = consolidate.first_row(batch, key, F.col(at).asc_nulls_last(), F.xxhash64(*batch.columns)).withColumn("bucket", part)
         if batch_id > 0:
-            stored = batch.sparkSession.read.schema(f"`{key}` string, batch long").option("basePath", path).parquet(path)
-            rows = rows.join(stored.filter(F.col("batch") < batch_id).select(key), key, "left_anti")
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+            # At most BUCKETS numbers, known before the scan starts.
+            touched = batch.select(part.alias("bucket")).agg(F.collect_set("bucket")).scalar()
+            stored = batch.sparkSession.read.schema(f"`{key}` string, batch long, bucket int").option("basePath", path).parquet(path)
+            known = stored.filter((F.col("batch") < batch_id) & F.array_contains(touched, F.col("bucket")))
+            rows = rows.join(known.select(key, "bucket"), [key, "bucket"], "left_anti")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(f"{path}/batch={batch_id}")
 
     return write
 
 
-def daily_counts(stream: DataFrame, at: str = "ts", *keys: str, lateness: str = "2 days") -> DataFrame:
-    """Running counts per day and key; a day is closed once the watermark has passed it."""
-    day = F.window(at, "1 day")
-    return stream.withWatermark(at, lateness).groupBy(day, *keys).agg(
-        F.count(F.lit(1)).alias("records")
-    ).select(F.to_date("window.start").alias("day"), *keys, "records")
+def daily_counts(rows: DataFrame, at: str = "ts", *keys: str) -> DataFrame:
+    """Records per day and key."""
+    return rows.groupBy(F.to_date(at).alias("day"), *keys).agg(F.count(F.lit(1)).alias("records"))
 
 
 def latest_counts(spark: SparkSession, path: str, *keys: str) -> DataFrame:
-    """Last count that any batch reported for each key."""
+    """Counts over all batches so far."""
     rows = spark.read.option("basePath", path).parquet(path)
-    return rows.groupBy(*keys).agg(F.max_by("records", "batch").alias("records"))
+    return rows.groupBy(*keys).agg(F.sum("records").alias("records"))
 
 
-def run_daily_counts(stream: DataFrame, checkpoint: str, path: str) -> StreamingQuery:
-    """Write changed counts of each batch; `latest_counts` reads the current state."""
-    return (
-        stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-        .foreachBatch(append_batches(path)).trigger(availableNow=True).start()
-    )
+def run_daily_counts(stream: DataFrame, checkpoint: str, path: str, at: str = "ts", *keys: str) -> StreamingQuery:
+    """Write what each batch adds to the counts; `latest_counts` adds it up.
+
+    Additions of any age count, since no day is ever closed, and a batch reads nothing but its own rows. A repeated
+    batch replaces its own additions.
+    """
+    add = append_batches(path)
+    return ingest(stream, checkpoint, lambda batch, batch_id: add(daily_counts(batch, at, *keys), batch_id))
 
 
 def refresh_index(papers: Callable[[], DataFrame], index: str, stem: bool = True) -> Callable[[DataFrame, int], None]:

@@ -20,12 +20,25 @@ def events(v):
 @query(sql="select cast(ts as date) as day, event_type, count(*) as records from events group by 1, 2")
 def stream_daily_counts(v):
     out = v.scratch("daily")
-    inc.run_daily_counts(
-        inc.daily_counts(events(v), "ts", "event_type"), v.scratch("checkpoint"), out
-    ).awaitTermination()
+    inc.run_daily_counts(events(v), v.scratch("checkpoint"), out, "ts", "event_type").awaitTermination()
     return inc.latest_counts(v.spark, out, "day", "event_type")
 
 
+@query(sql="""select day, lang, count(*) as records from (select lang, date '2024-05-01' + cast(doc_id % 40 as int) as day
+    from documents where doc_id % 3 = 0 union all
+    select lang, date '2019-05-01' + cast(doc_id % 40 as int) from documents) group by 1, 2""")
+def stream_counts_after_backfill(v):
+    """Records of years long gone arrive after the newest and count like any other."""
+    landing, out, checkpoint = v.scratch("landing"), v.scratch("daily"), v.scratch("checkpoint")
+    docs = v.table("documents").select("doc_id", "lang")
+    for part, year in ((docs.filter("doc_id % 3 = 0"), 2024), (docs, 2019)):
+        day = F.date_add(F.lit(f"{year}-05-01").cast("date"), (F.col("doc_id") % 40).cast("int"))
+        part.select("lang", day.cast("timestamp").alias("ts")).write.mode("append").parquet(landing)
+        stream = v.spark.readStream.schema("lang string, ts timestamp").option("maxFilesPerTrigger", 3).parquet(landing)
+        inc.run_daily_counts(stream, checkpoint, out, "ts", "lang").awaitTermination()
+    return inc.latest_counts(v.spark, out, "day", "lang")
+
+
 @query(sql="select distinct cast(user_id as varchar) as paper_id from events")
 def stream_fresh_records(v):
     out = v.scratch("fresh")

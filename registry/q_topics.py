@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from corpuslens.operators import consolidate, search
 from corpuslens.operators import topics as tp
+from corpuslens.operators.numbering import numbered
 from corpuslens.plans import topic_model
 from registry.core import query
 from registry.q_text import words_sql
@@ -163,3 +166,33 @@ def project_2d(v):
 def topic_model_run(v):
     run = topic_model.fit(v.texts, dims=64, eps=0.08, min_samples=5, n_words=5)
     return run.assignments
+
+
+@query(sql="""select cast(doc_id as varchar) as paper_id, length(text) % 7 as a, length(text) % 11 as b from documents""")
+def encode_with_own_model(v):
+    """A user's encoder, loaded once per task: here two numbers from the length of a text."""
+    def load():
+        return lambda texts: np.array([[len(t) % 7, len(t) % 11] for t in texts], "float32").reshape(-1, 2)
+
+    rows = v.table("documents").select(F.col("doc_id").cast("string").alias("paper_id"), "text")
+    found = tp.encode_with_model(rows, load)
+    return found.select("paper_id", F.get("embedding", F.lit(0)).cast("int").alias("a"), F.get("embedding", F.lit(1)).cast("int").alias("b"))
+
+
+@query(sql="select 0 as clusters, 0 as merged, 0 as edges, 0 as hits, 0 as numbered")
+def empty_tables(v):
+    """Clusters, merges, edges, searches and numbers of the given tables without their rows are empty and stop nothing."""
+    none = v.texts.filter("paper_id is null")
+    hits = search.search(none, v.queries, stem=False)
+    points = v.points.filter("paper_id is null")
+    parts = {
+        "clusters": tp.assign_topics(points, EPS), "merged": tp.reduce_topics(none.select("topic_cluster_id").withColumnRenamed(
+            "topic_cluster_id", "topic_id"), weights(v).filter("topic_id is null"), 2),
+        "edges": consolidate.dedup_edges(v.raw_edges.filter("citing_id is null")), "hits": hits,
+        "numbered": numbered(none.select("paper_id"), "paper_id"),
+    }
+    counts = None
+    for name, rows in parts.items():
+        one = rows.select(F.lit(name).alias("name")).groupBy("name").count()
+        counts = one if counts is None else counts.unionByName(one)
+    return counts.groupBy().agg(*[F.coalesce(F.sum(F.when(F.col("name") == n, F.col("count"))), F.lit(0)).cast("int").alias(n) for n in parts])
