@@ -228,6 +228,34 @@ def landing_paths(
     return sorted(kept)
 
 
+#: source/category/day/file at the end of a path.
+_DAY_FILE = r"/([^/]+)/([^/]+)/(\d{4}-\d{2}-\d{2})/[^/]+$"
+
+
+def read_day_folders(
+    spark: SparkSession, base: str, schema: str, source: str | None = None, date_from: str | None = None,
+    date_to: str | None = None, skip: Sequence[str] = fixed.NON_PAPER_CATEGORIES,
+) -> DataFrame:
+    """Records below `base/source/category/day` folders, with `source_dir`, `category` and `day` from the path.
+
+    The three are expressions of each file's path in the plan, so filters on them, here or by the caller, choose the files
+    before any is opened. Files elsewhere are left out.
+    """
+    lines = spark.read.option("recursiveFileLookup", "true").text(base)
+    path = F.col("_metadata.file_path")
+    part = lambda i: F.regexp_extract(path, _DAY_FILE, i)
+    rows = lines.filter(F.regexp_like(path, F.lit(_DAY_FILE)) & ~part(2).isin(list(skip)))
+    if source is not None:
+        rows = rows.filter(part(1) == source)
+    if date_from is not None:
+        rows = rows.filter(part(3) >= date_from)
+    if date_to is not None:
+        rows = rows.filter(part(3) <= date_to)
+    return well_formed(_parsed(
+        rows.select("value", part(1).alias("source_dir"), part(2).alias("category"), part(3).cast("date").alias("day")), schema
+    ))
+
+
 def read_landing(
     spark: SparkSession, base: str, schema: str, date_from: str | None = None,
     date_to: str | None = None, skip: Sequence[str] = fixed.NON_PAPER_CATEGORIES,

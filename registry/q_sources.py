@@ -188,6 +188,19 @@ def landing_date_range(v):
     return found.select("event_id", "category", "date")
 
 
+@query(sql="""select event_id, event_type, date '2024-03-01' + cast(event_id % 4 as int) as day from events
+    where event_id % 3 <> 0 and event_id % 4 between 1 and 2""")
+def landing_day_folders(v):
+    """Folders source/category/day, of which the days outside the range and one category are never opened."""
+    base, events = v.scratch("folders"), v.table("events").select("event_id", "event_type")
+    for day in range(4):
+        for kind, rest in (("edges", (0,)), ("papers", (1, 2))):
+            part = events.filter((F.col("event_id") % 4 == day) & (F.col("event_id") % 3).isin(*rest))
+            part.write.json(f"{base}/s2orc/{kind}/2024-03-0{1 + day}")
+    found = readers.read_day_folders(v.spark, base, "event_id bigint, event_type string", "s2orc", "2024-03-02", "2024-03-03")
+    return found.select("event_id", "event_type", "day")
+
+
 @query(sql="""select cast(doc_id as varchar) as paper_id, trim(text, ' ') as abstract, trim(split_part(text, chr(10), 1), ' ') as title,
     lang || '|' || source as authors, '2024-01-' || lpad(cast(1 + doc_id % 28 as varchar), 2, '0') as submitted_date,
     case when doc_id % 3 = 0 then '' else concat('p/', cast(doc_id as varchar)) end as pdf_url from documents""")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gzip
 import json
 import uuid
 
@@ -194,3 +195,19 @@ def test_signals_need_two_months_and_shrink_their_window(spark):
     assert (got["three"].signal, got["three"].growth_rate) == ("declining", -0.5)
     assert (got["six"].signal, got["six"].growth_pct, got["six"].recent_avg_papers) == ("emerging", 100.0, 2.0)
     assert got["flat"].signal == "stable"
+
+
+def test_skipped_days_are_never_opened(spark, tmp_path):
+    for category in ("cs", "edges"):
+        for day in ("2024-01-01", "2024-01-02", "2024-01-03", "other"):
+            folder = tmp_path / "s2orc" / category / day
+            folder.mkdir(parents=True)
+            wanted = category == "cs" and day in ("2024-01-02", "2024-01-03")
+            # What isn't wanted is no gzip file, and would stop whatever opens it.
+            (folder / "part.json.gz").write_bytes(gzip.compress(f'{{"k": "{category} {day}"}}\n'.encode()) if wanted else b"none")
+    df = readers.read_day_folders(spark, str(tmp_path), "k string", "s2orc", "2024-01-02")
+    assert sorted((r.k, str(r.day), r.category) for r in df.collect()) == [
+        (f"cs 2024-01-0{d}", f"2024-01-0{d}", "cs") for d in (2, 3)
+    ]
+    assert [r.k for r in df.filter("day = date '2024-01-03'").collect()] == ["cs 2024-01-03"]
+    assert readers.read_day_folders(spark, str(tmp_path), "k string", "arxiv").count() == 0
