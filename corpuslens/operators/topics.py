@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer
+from pyspark.ml.feature import PCA, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,14 +18,31 @@ from corpuslens.session import cut_lineage
 NOISE = -1
 
 
+def hashed_weights(texts: DataFrame, key: str = "paper_id", text: str = "text", dims: int = 256) -> DataFrame:
+    """(key, place, value): the tf-idf weights of each text's words at `dims` places, of length 1 together.
+
+    A word's place is the number of the first 32 bits of its md5; its weight is ln((n + 1) / (df + 1)) for each time it stands,
+    with n texts of which df have the place.
+    """
+    place = (F.conv(F.left(F.md5("word"), F.lit(8)), 16, 10).cast("long") % dims).cast("int")
+    words = tx.unfold(texts, tx.content_words(F.col(text)), "word", key)
+    counts = words.groupBy(key, place.alias("place")).agg(F.count(F.lit(1)).alias("tf"))
+    n = texts.agg(F.count(F.lit(1)).alias("n")).scalar()
+    rarity = counts.groupBy("place").agg(F.ln((n + 1) / (F.count(F.lit(1)) + 1)).alias("idf"))
+    weighted = counts.join(rarity, "place").select(key, "place", (F.col("tf") * F.col("idf")).alias("w"))
+    norms = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return weighted.join(norms.filter("norm > 0"), key).select(key, "place", (F.col("w") / F.col("norm")).alias("value"))
+
+
 def encode_texts(texts: DataFrame, key: str = "paper_id", text: str = "text", dims: int = 256) -> DataFrame:
-    """Unit tf-idf vectors over hashed words: the built-in encoder. One pass counts the words, the
-    second writes the vectors; nothing is shuffled but the counts."""
-    tokens = texts.select(key, tx.content_words(F.col(text)).alias("words"))
-    hashed = HashingTF(numFeatures=dims, inputCol="words", outputCol="tf").transform(tokens)
-    weighted = IDF(inputCol="tf", outputCol="tfidf").fit(hashed).transform(hashed)
-    unit = Normalizer(inputCol="tfidf", outputCol="unit").transform(weighted)
-    return unit.select(key, vector_to_array("unit", "float32").alias("embedding"))
+    """Unit tf-idf vectors over hashed words: the built-in encoder. A text without words has zeros; `key` is unique."""
+    found = hashed_weights(texts, key, text, dims).groupBy(key).agg(
+        F.map_from_entries(F.collect_list(F.struct("place", "value"))).alias("at")
+    )
+    value = lambda i: F.coalesce(F.try_element_at("at", i.cast("int")), F.lit(0.0)).cast("float")
+    return texts.select(key).join(found, key, "left").select(
+        key, F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), value).alias("embedding")
+    )
 
 
 def encode_with_model(

@@ -152,8 +152,15 @@ def reduce_to_one_topic(v):
     )
 
 
-@query()
+@query("texts", sql=f""", words as (select paper_id, unnest({words_sql('abstract')}) as word from texts),
+    counts as (select paper_id, ('0x' || md5(word)[1:8])::bigint % 64 as place, count(*) as tf from words group by 1, 2),
+    weighted as (select paper_id, place, tf * ln(((select count(*) from texts) + 1) / (count(*) over (partition by place) + 1)) as w
+      from counts),
+    unit as (select paper_id, place, w / sqrt(sum(w * w) over (partition by paper_id)) as value from weighted),
+    held as (select paper_id, map_from_entries(list((place, value))) as m from unit group by 1)
+    select paper_id, list_transform(range(0, 64), lambda i: coalesce(m[i], 0e0)::float) as embedding from texts left join held using (paper_id)""")
 def encode_texts(v):
+    """Vectors of 64 hashed places."""
     return tp.encode_texts(docs(v), dims=64)
 
 
