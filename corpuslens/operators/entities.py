@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslens.functions import fixed_values as fixed
 from corpuslens.functions import identifiers as ids
 from corpuslens.functions import text as tx
+from corpuslens.session import cut_lineage
 
 ENTITY_COLUMNS = {"method": "methods", "dataset": "datasets", "task": "tasks"}
 PREDICTIONS = "paper_id string, pos int, token string, label string, score double, start int, end int"
@@ -43,24 +47,41 @@ def prepare_for_tagging(papers: DataFrame, text: str = "abstract", least: int =
     return tx.unfold(cleaned, kept, "text", "paper_id")
 
 
-def tag_with_model(texts: DataFrame, load: Callable[[], Callable[[list[str]], list[list[dict]]]]) -> DataFrame:
+def _slices(texts: Sequence[str | None], chars: int) -> Iterator[slice]:
+    """Runs of texts of up to `chars` characters together, or of a single longer one."""
+    start = held = 0
+    for i, text in enumerate(texts):
+        size = len(text or "") + 1
+        if held and held + size > chars:
+            yield slice(start, i)
+            start, held = i, 0
+        held += size
+    if held:
+        yield slice(start, len(texts))
+
+
+def tag_with_model(
+    texts: DataFrame, load: Callable[[], Callable[[list[str]], list[list[dict]]]], chars: int = 1 << 18
+) -> DataFrame:
     """Token predictions of a user's model.
 
     `load` runs once per task and returns a function from a batch of texts to one list of
-    predictions (token, label, score, start, end) per text.
+    predictions (token, label, score, start, end) per text. A batch has at most `chars` characters, unless a single
+    text is longer, and its predictions leave the task before the next is asked for.
     """
+    columns = ["paper_id", "pos", "token", "label", "score", "start", "end"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         predict = load()
         for batch in batches:
-            rows = [
-                (key, pos, p["token"], p["label"], float(p["score"]), int(p["start"]), int(p["end"]))
-                for key, found in zip(batch["paper_id"], predict(batch["text"].tolist()))
-                for pos, p in enumerate(found)
-            ]
-            yield pd.DataFrame(
-                rows, columns=["paper_id", "pos", "token", "label", "score", "start", "end"]
-            )
+            keys, bodies = batch["paper_id"].tolist(), batch["text"].tolist()
+            for some in _slices(bodies, chars):
+                rows = [
+                    (key, pos, p["token"], p["label"], float(p["score"]), int(p["start"]), int(p["end"]))
+                    for key, found in zip(keys[some], predict(bodies[some]))
+                    for pos, p in enumerate(found)
+                ]
+                yield pd.DataFrame(rows, columns=columns)
 
     return texts.select("paper_id", "text").mapInPandas(run, PREDICTIONS)
 
@@ -144,17 +165,117 @@ def _pieces(tokens: Column, cuts: Column, which: Column) -> Column:
     return F.transform(which, span)
 
 
+def _run_pieces(tokens: DataFrame) -> DataFrame:
+    """Pieces of spans in each run of tokens that come one after the other in a task: same paper, `pos` rising by one.
+
+    A piece that touches neither end of its run is a whole span. The last piece of a run is always there, with a null label
+    if it is no span, and tells the run's first and last `pos`. A row with a null value is a piece without `span`.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in tokens.schema}
+    schema = (
+        f"paper_id {kinds['paper_id']}, span {kinds['pos']}, label string, text string, total double, tokens bigint, "
+        f"from_left boolean, to_right boolean, start {kinds['start']}, end {kinds['end']}, run_first long, run_last long"
+    )
+    names = ["paper_id", "span", "label", "text", "total", "tokens", "from_left", "to_right", "start", "end", "run_first", "run_last"]
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known = np.ones(batch.num_rows, bool)
+            for column in batch.columns:
+                if column.null_count:
+                    known &= column.is_valid().to_numpy(zero_copy_only=False)
+            if not known.all():
+                lost = batch.column(0).filter(pa.array(~known))
+                yield pa.RecordBatch.from_arrays([lost, *[
+                    pa.nulls(len(lost), t) for t in (
+                        batch.schema.field("pos").type, pa.string(), pa.string(), pa.float64(), pa.int64(), pa.bool_(), pa.bool_(),
+                        batch.schema.field("start").type, batch.schema.field("end").type, pa.int64(), pa.int64(),
+                    )
+                ]], names)
+                batch = batch.filter(pa.array(known))
+            n = batch.num_rows
+            if not n:
+                continue
+            paper, pos = batch.column("paper_id"), batch.column("pos").to_numpy(zero_copy_only=False).astype(np.int64)
+            coded = batch.column("label").dictionary_encode()
+            code, labels = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
+            outside, begins, inner = (
+                np.array([f(x) for x in labels], bool)[code]
+                for f in (lambda x: x == "O", lambda x: x.startswith("B-"), lambda x: x.startswith("I-"))
+            )
+            types = {x[2:]: i for i, x in enumerate(labels)}
+            kind = np.array([types[x[2:]] for x in labels])[code]
+            head = np.ones(n, bool)
+            head[1:] = pc.not_equal(paper.slice(1), paper.slice(0, n - 1)).to_numpy(zero_copy_only=False) | (pos[1:] != pos[:-1] + 1)
+            cut = head | outside | begins
+            cut[1:] |= outside[:-1] | (kind[1:] != kind[:-1])
+            first = np.flatnonzero(cut)
+            stop = np.append(first[1:], n)
+            to_right = np.append(head, True)[stop]
+            runs = np.flatnonzero(head)
+            run_first = pos[runs[np.searchsorted(runs, first, side="right") - 1]]
+            keep = ~outside[first] | to_right
+            sums = np.add.reduceat(batch.column("score").to_numpy(zero_copy_only=False), first)
+            first, stop, to_right, run_first, sums = (x[keep] for x in (first, stop, to_right, run_first, sums))
+            words = batch.column("token").to_pylist()
+            take = lambda name, at: batch.column(name).take(pa.array(at))
+            yield pa.RecordBatch.from_arrays([
+                paper.take(pa.array(first)), take("pos", first),
+                pa.array([None if o else labels[c][2:] for o, c in zip(outside[first], code[first])], pa.string()),
+                pa.array([" ".join(words[i:j]) if j > i + 1 else words[i] for i, j in zip(first.tolist(), stop.tolist())], pa.string()),
+                pa.array(sums), pa.array(stop - first), pa.array(head[first] & inner[first]), pa.array(to_right),
+                take("start", first), take("end", stop - 1), pa.array(run_first), pa.array(pos[stop - 1]),
+            ], names)
+
+    return tokens.select("paper_id", "pos", "token", "label", "score", "start", "end").mapInArrow(decode, schema)
+
+
 def decode_spans(tokens: DataFrame, chunk: int = 4096) -> DataFrame:
     """Entity spans from B-/I-/O labels of the tokens of each paper, numbered from 0 without gaps.
 
-    B- starts a span; I- continues one of the same type, else starts; O ends. A paper's tokens are
-    gathered in chunks of fixed size, so however many it has, no task holds more than a chunk of it
-    at once. Only the spans that touch the edge of a chunk, at most two per chunk, are then joined
-    over the edges; all others are complete.
+    B- starts a span; I- continues one of the same type, else starts; O ends. Tokens are decoded where they stand: those
+    that come one after the other in a task give whole spans, and only the pieces at the ends of such a run, at most two
+    a run, travel and are joined. A paper in which a place is taken twice, or a value is missing, has no such order: its
+    tokens are gathered and sorted in chunks of fixed size.
     """
     has_range = "start" in tokens.columns and "end" in tokens.columns
     start, end = (F.col("start"), F.col("end")) if has_range else (F.col("pos"), F.col("pos"))
-    token = F.struct("pos", "token", "label", F.col("score").cast("double").alias("score"), start.alias("start"), end.alias("end"))
+    token = tokens.select("paper_id", "pos", "token", "label", F.col("score").cast("double").alias("score"), start.alias("start"), end.alias("end"))
+    pieces = cut_lineage(_run_pieces(token))
+    in_order = Window.partitionBy("paper_id").orderBy("run_first", "span")
+    last = pieces.filter("to_right").withColumn("before", F.lag("run_last").over(Window.partitionBy("paper_id").orderBy("run_first")))
+    mixed = cut_lineage(last.filter(F.col("before") >= F.col("run_first")).select("paper_id").union(
+        pieces.filter("span is null").select("paper_id")
+    ).distinct().withColumnRenamed("paper_id", "_mixed"))
+    gathered = None
+    if not mixed.isEmpty():
+        own = F.col("paper_id").eqNullSafe(F.col("_mixed"))
+        gathered = _gathered_spans(token.join(mixed, own, "left_semi"), chunk)
+        pieces = pieces.join(mixed, own, "left_anti")
+    edge = F.col("from_left") | F.col("to_right")
+    continues = F.col("from_left") & F.lag("to_right").over(in_order) & (F.lag("label").over(in_order) == F.col("label"))
+    spans = pieces.filter(~edge).unionByName(_joined(pieces.filter(edge), continues, in_order), allowMissingColumns=True)
+    columns = ["paper_id", "span", "label", "text", "total", "tokens", "start", "end"]
+    spans = spans.select(*columns)
+    return _shown(spans if gathered is None else spans.unionAll(gathered.select(*columns)), has_range)
+
+
+def _joined(at_edges: DataFrame, continues: Column, in_order) -> DataFrame:
+    """Spans of pieces, each of which continues the one before it or not; pieces without a label are dropped."""
+    headed = at_edges.withColumn("head", F.when(~F.coalesce(continues, F.lit(False)), F.col("span")))
+    headed = headed.withColumn("head", F.max("head").over(in_order)).filter("label is not null")
+    parts_in_order = F.transform(F.array_sort(F.collect_list(F.struct("span", "text"))), lambda p: p["text"])
+    return headed.groupBy("paper_id", F.col("head").alias("span")).agg(
+        F.max("label").alias("label"), F.array_join(parts_in_order, " ").alias("text"),
+        F.sum("total").alias("total"), F.sum("tokens").alias("tokens"),
+        F.min("start").alias("start"), F.max("end").alias("end"),
+    )
+
+
+def _gathered_spans(tokens: DataFrame, chunk: int) -> DataFrame:
+    """Spans of tokens in any order: gathered in chunks of `chunk` places, so no task holds more of a paper at once; the spans
+    that touch the edge of a chunk, at most two per chunk, are joined."""
+    token = F.struct("pos", "token", "label", "score", "start", "end")
     chunks = tokens.groupBy("paper_id", F.floor(F.col("pos") / chunk).alias("chunk")).agg(
         F.array_sort(F.collect_list(token)).alias("t")
     )
@@ -170,23 +291,18 @@ def decode_spans(tokens: DataFrame, chunk: int = 4096) -> DataFrame:
     at_edges = pieces(F.array_distinct(F.array(F.lit(0), last))).filter(edge)
     inside = pieces(F.sequence(F.lit(0), last)).filter(~edge)
     columns = ["paper_id", "span", "label", "text", "total", "tokens", "start", "end"]
-
     in_order = Window.partitionBy("paper_id").orderBy("span")
     continues = (
         F.col("from_left") & F.lag("to_right").over(in_order)
         & (F.lag("chunk").over(in_order) == F.col("chunk") - 1)
         & (F.lag("label").over(in_order) == F.col("label"))
     )
-    headed = at_edges.withColumn("head", F.when(~F.coalesce(continues, F.lit(False)), F.col("span")))
-    headed = headed.withColumn("head", F.max("head").over(in_order))
-    parts_in_order = F.transform(F.array_sort(F.collect_list(F.struct("span", "text"))), lambda p: p["text"])
-    joined = headed.groupBy("paper_id", F.col("head").alias("span")).agg(
-        F.max("label").alias("label"), F.array_join(parts_in_order, " ").alias("text"),
-        F.sum("total").alias("total"), F.sum("tokens").alias("tokens"),
-        F.min("start").alias("start"), F.max("end").alias("end"),
-    )
+    return inside.select(*columns).unionAll(_joined(at_edges, continues, in_order).select(*columns))
+
+
+def _shown(spans: DataFrame, has_range: bool) -> DataFrame:
     text = F.regexp_replace(F.regexp_replace("text", " ##", ""), "^##", "")
-    return inside.select(*columns).unionAll(joined.select(*columns)).select(
+    return spans.select(
         "paper_id", "span", "label", F.trim(text).alias("text"), (F.col("total") / F.col("tokens")).alias("score"),
         "tokens", *(["start", "end"] if has_range else []),
     )

@@ -96,3 +96,33 @@ def test_sections(spark):
     assert three[0] == "m i r" and len(three[1]) == 3600 and three[2] is None
     cut = df.select(en.prioritise_sections(F.col("s"), F.col("f"), 4, 2000)).collect()
     assert len(cut[1][0]) == 2000
+
+
+def test_a_model_sees_bounded_batches(spark):
+    """10,000 texts reach a task as one Arrow batch; the model gets them in parts, and a long text alone."""
+    def load():
+        def predict(texts):
+            assert len(texts) == 1 or sum(len(t) for t in texts) <= 1 << 12
+            return [[{"token": t[:3], "label": "B-ORG", "score": 0.9, "start": 0, "end": 3}] for t in texts]
+        return predict
+
+    rows = [(f"p{i}", ("x" * (20000 if i % 97 == 5 else i % 700))) for i in range(2000)]
+    texts = spark.createDataFrame(rows, "paper_id string, text string").coalesce(1)
+    got = en.tag_with_model(texts, load, chars=1 << 12).collect()
+    assert sorted((r.paper_id, r.token) for r in got) == sorted((k, t[:3]) for k, t in rows)
+
+
+def test_tokens_in_order_are_decoded_without_gathering_them(spark):
+    """Places of one paper in several tasks, in turns; repeated places and missing values; and no token travels."""
+    rows = rows_of(5)
+    turns = spark.createDataFrame(rows[0::2], SCHEMA).coalesce(2).union(spark.createDataFrame(rows[1::2], SCHEMA).coalesce(1))
+    shown = lambda df: {(r.paper_id, r.span, r.label, r.text, round(r.score, 9), r.tokens, r.start, r.end) for r in df.collect()}
+    assert shown(en.decode_spans(turns)) == decoded(rows)
+    twice = rows + [r for r in rows if r[0] in ("p3", "p4")]
+    assert shown(en.decode_spans(spark.createDataFrame(twice, SCHEMA), 7)) == decoded(twice)
+    gap = [r for r in rows if r[1] % 5 != 3]
+    assert shown(en.decode_spans(spark.createDataFrame(gap, SCHEMA))) == decoded(gap)
+    missing = spark.createDataFrame([("q", 0, "a", "B-ORG", 0.5, 0, 1), ("q", 1, "b", "I-ORG", None, 1, 2), ("r", 0, "c", "B-ORG", 0.5, 0, 1)], SCHEMA)
+    assert {(r.paper_id, r.text, r.tokens) for r in en.decode_spans(missing).collect()} == {("q", "a b", 2), ("r", "c", 1)}
+    plan = en._run_pieces(spark.createDataFrame(rows, SCHEMA))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
