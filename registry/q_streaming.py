@@ -47,16 +47,22 @@ def stream_fresh_records(v):
     return v.spark.read.parquet(out).select("paper_id")
 
 
+#: Bytes of text that land in four files.
+LANDED_BYTES = 1 << 29
+
+
 @query(sql="""select cast(doc_id as varchar) as paper_id, length(text) as chars, lang as primary_category from documents""")
 def stream_landing_files(v):
-    """Landed JSON files arrive in batches and are merged by key."""
+    """Landed JSON files arrive in batches and are merged by key. Small tables land in four files, larger ones in more."""
     landing, out = v.scratch("landing"), v.scratch("merged")
-    v.table("documents").select(
+    documents = v.table("documents")
+    files = 4 * (1 + (documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // LANDED_BYTES)
+    documents.select(
         F.col("doc_id").cast("string").alias("paper_id"), "text", "lang",
         F.expr("timestampadd(SECOND, cast(doc_id % 1000 as int), timestamp '2024-01-01 00:00:00')").alias("ingested_at"),
-    ).repartition(4).write.json(landing)
+    ).repartition(files).write.json(landing)
     stream = inc.stream_json(
-        v.spark, landing, "paper_id string, text string, lang string, ingested_at string", files_per_batch=2
+        v.spark, landing, "paper_id string, text string, lang string, ingested_at string", files_per_batch=files // 2
     )
     inc.ingest(inc.usable_records(stream), v.scratch("checkpoint"), inc.store_new(out)).awaitTermination()
     return v.spark.read.parquet(out).select(
