@@ -227,3 +227,23 @@ def test_a_month_that_loses_its_terms_loses_its_postings(spark, tmp_path):
     query = search.one_query(spark, "neural networks data")
     rest = df.filter("ingest_year_month != '2024-02'")
     assert close(scores(search.search_index(spark, path, query, None)), scores(search.search(rest, query, k=None)))
+
+
+def test_index_bounds_are_what_a_document_gains(spark, tmp_path, monkeypatch):
+    """The most occurrences and the least length belong to different papers; a bound of both would be too high."""
+    papers = spark.createDataFrame([
+        ("a", "x", "graph", "2024-01"), ("b", "x", "graph graph graph " + "word " * 60, "2024-01"), ("c", "x", "data model", "2024-02"),
+    ], "paper_id string, title string, abstract string, ingest_year_month string")
+    seen, real = {}, search.top_documents
+
+    def spy(found, weights, k):
+        most = found.groupBy(*search.KEYS).agg(F.max("gain").alias("most"), F.count("*").alias("seen"))
+        seen["rows"] = weights.join(most, search.KEYS).collect()
+        return real(found, weights, k)
+
+    monkeypatch.setattr(search, "top_documents", spy)
+    search.build_index(papers, str(tmp_path / "i"), stem=False)
+    queries = spark.createDataFrame([("q", "graph data")], "query_id string, text string")
+    hits = search.search_index(spark, str(tmp_path / "i"), queries, stem=False).collect()
+    assert {h.paper_id for h in hits} == {"a", "b", "c"}
+    assert len(seen["rows"]) == 2 and all(r.top == r.most and r.df == r.seen for r in seen["rows"])
