@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -101,15 +102,17 @@ def connected(edges: DataFrame, nodes: DataFrame) -> DataFrame:
             return labels
 
 
-def _squared(a: Column, b: Column) -> Column:
-    """Squared distance of two places."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
+def _squared(a: Column, b: Column, dims: int) -> Column:
+    """Squared distance of two places, coordinate by coordinate, so that Spark compiles it."""
+    gaps = [F.get(a, F.lit(i)) - F.get(b, F.lit(i)) for i in range(dims)]
+    return reduce(Column.__add__, [x * x for x in gaps])
 
 
-def _outside(at: Column, low: Column, high: Column) -> Column:
-    """Squared distance of a place from a box."""
-    beyond = F.zip_with(F.zip_with(low, at, lambda x, y: x - y), F.zip_with(at, high, lambda x, y: x - y), lambda x, y: F.greatest(x, y, F.lit(0.0)))
-    return F.aggregate(beyond, F.lit(0.0), lambda s, x: s + x * x)
+def _between(low: Column, high: Column, other_low: Column, other_high: Column, dims: int) -> Column:
+    """Squared distance of two boxes; a place is a box whose corners are the same."""
+    at = lambda c, i: F.get(c, F.lit(i))
+    gaps = [F.greatest(at(other_low, i) - at(high, i), at(low, i) - at(other_high, i), F.lit(0.0)) for i in range(dims)]
+    return reduce(Column.__add__, [x * x for x in gaps])
 
 
 def _cell(at: Column, side: float) -> Column:
@@ -126,56 +129,59 @@ def _around(cells: DataFrame, dims: int) -> DataFrame:
     return near.join(cells.select(F.col("cell").alias("next")), "next")
 
 
-def _core_spots(spots: DataFrame, pairs: DataFrame, eps: float, min_samples: int) -> DataFrame:
+def _dealt(rows: DataFrame, key: str) -> DataFrame:
+    """Rows dealt over all tasks: a join that makes many pairs of few rows must not be put into one task for its small input.
+
+    Both sides need it, since Spark may send either whole to the tasks of the other."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
+def _core_spots(spots: DataFrame, pairs: DataFrame, eps: float, min_samples: int, dims: int) -> DataFrame:
     """(at, core) of every spot: whether enough points lie within `eps` of it, itself included.
 
-    All points of a fine cell are that near to each other, so a crowded cell needs no look at its neighbours.
+    All points of a fine cell are that near to each other, so a crowded cell needs no look at its neighbours. The others
+    are few around any cell, so they are the side that a join holds; the spots of a cell, of any number, stream past.
     """
     crowd = spots.groupBy("fine").agg(F.sum("n").alias("crowd"))
     known = spots.join(crowd, "fine").withColumn("sure", F.col("crowd") >= min_samples)
-    open_ = known.filter(~F.col("sure")).select("cell", "at").join(pairs, "cell")
+    open_ = known.filter(~F.col("sure")).select("cell", "at").join(pairs, "cell").drop("cell")
     others = spots.select(F.col("cell").alias("next"), F.col("at").alias("to"), "n")
-    counted = open_.join(others, "next").filter(_squared(F.col("at"), F.col("to")) <= eps * eps).groupBy("at").agg(F.sum("n").alias("near"))
+    near = _squared(F.col("at"), F.col("to"), dims) <= eps * eps
+    counted = _dealt(others, "next").join(_dealt(open_, "next"), "next").filter(near).groupBy("at").agg(F.sum("n").alias("near"))
     return known.join(counted, "at", "left").select("at", "cell", "fine", "n", (F.col("sure") | (F.coalesce("near", F.lit(0)) >= min_samples)).alias("core"))
 
 
-def _core_links(core: DataFrame, pairs: DataFrame, eps: float, dims: int) -> DataFrame:
-    """(src, dst): fine cells with core points that lie within `eps` of each other, enough of them to span every cluster.
+def _core_parts(core: DataFrame, pairs: DataFrame, eps: float, dims: int) -> DataFrame:
+    """(id, component) of every fine cell with core points: cells with points within `eps` of each other share a component.
 
-    For two cells the point of one nearest to the other's box and the point there nearest to it settle most pairs, by
-    work that grows with the points, not with their pairs. What then could still join two parts is compared point by
-    point, near the other's box only.
+    Only cells whose boxes are that near are compared, first by a few points of each, one for each half of its side. The
+    cells that these leave in different parts are then compared by all their points near the other's box.
     """
-    reach = eps * eps
+    reach, side = eps * eps, eps / dims**0.5
     corners = [F.array(*[f(F.get("at", F.lit(i))) for i in range(dims)]) for f in (F.min, F.max)]
-    boxes = core.groupBy("fine").agg(corners[0].alias("low"), corners[1].alias("high"))
-    held = core.select("fine", "cell").distinct()
-    met = held.withColumnRenamed("fine", "src").join(pairs, "cell").join(
-        held.select(F.col("fine").alias("dst"), F.col("cell").alias("next")), "next"
-    ).filter(F.col("src") < F.col("dst")).select("src", "dst").distinct()
-    box = boxes.select(F.col("fine").alias("dst"), "low", "high")
-    one = core.select(F.col("fine").alias("src"), "at")
-    first = met.join(box, "dst").join(one, "src").groupBy("src", "dst").agg(
-        F.min(F.struct(_outside(F.col("at"), F.col("low"), F.col("high")).alias("d"), "at")).alias("w")
-    ).filter(F.col("w.d") <= reach)
-    other = core.select(F.col("fine").alias("dst"), F.col("at").alias("to"))
-    judged = cut_lineage(first.join(other, "dst").groupBy("src", "dst").agg(F.min(_squared(F.col("w.at"), F.col("to"))).alias("d")))
-    sure = judged.filter(F.col("d") <= reach).select("src", "dst")
+    boxes = cut_lineage(core.groupBy("fine").agg(corners[0].alias("low"), corners[1].alias("high")).withColumn("id", F.monotonically_increasing_id()))
+    core = cut_lineage(core.join(boxes.select("fine", "id"), "fine").select("id", "cell", "at"))
+    held = core.select("id", "cell").distinct().join(boxes.drop("fine"), "id")
+    as_ = lambda rows, **names: rows.select(*[F.col(old).alias(new) for old, new in names.items()])
+    one = as_(held, id="src", cell="cell", low="low", high="high").join(pairs, "cell").drop("cell")
+    other = as_(held, id="dst", cell="next", low="low_", high="high_")
+    near = _between(F.col("low"), F.col("high"), F.col("low_"), F.col("high_"), dims) <= reach
+    met = cut_lineage(_dealt(one, "next").join(_dealt(other, "next"), "next").filter((F.col("src") < F.col("dst")) & near).select("src", "dst").distinct())
+    few = cut_lineage(core.groupBy("id", _cell(F.col("at"), side / 2).alias("_half")).agg(F.min("at").alias("at")).select("id", "at"))
+    close = _squared(F.col("at"), F.col("to"), dims) <= reach
+    sure = met.join(as_(few, id="src", at="at"), "src").join(as_(few, id="dst", at="to"), "dst").filter(close).select("src", "dst").distinct()
     both = lambda links: links.union(links.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    # Cells whose least known partners, followed for two steps, are the same share a cluster already.
-    least = both(sure).groupBy("src").agg(F.min("dst").alias("dst")).select("src", F.least("src", "dst").alias("mid"))
-    part = least.join(least.select(F.col("src").alias("mid"), F.col("mid").alias("part")), "mid").select("src", "part")
-    left, right = part.withColumnRenamed("part", "a"), part.select(F.col("src").alias("dst"), F.col("part").alias("b"))
-    apart = judged.filter(F.col("d") > reach).join(left, "src", "left").join(right, "dst", "left").filter(
-        F.coalesce(F.col("a") != F.col("b"), F.lit(True))
-    ).select("src", "dst")
-    near_box = lambda links, own, far, spot: links.join(
-        boxes.select(F.col("fine").alias(far), "low", "high"), far
-    ).join(core.select(F.col("fine").alias(own), F.col("at").alias(spot)), own).filter(_outside(F.col(spot), F.col("low"), F.col("high")) <= reach)
-    x = near_box(apart, "src", "dst", "at").select("src", "dst", "at")
-    y = near_box(apart, "dst", "src", "to").select("src", "dst", "to")
-    late = x.join(y, ["src", "dst"]).filter(_squared(F.col("at"), F.col("to")) <= reach).select("src", "dst").distinct()
-    return both(sure.union(late))
+    part = connected(both(sure), boxes.select("id"))
+    apart = cut_lineage(met.join(as_(part, id="src", component="a"), "src").join(as_(part, id="dst", component="b"), "dst").filter("a != b"))
+    box = lambda name: as_(boxes, id=name, low="low", high="high")
+    by_box = lambda spot: _between(F.col(spot), F.col(spot), F.col("low"), F.col("high"), dims) <= reach
+    x = as_(core, id="src", at="at").join(apart.join(box("dst"), "dst"), "src").filter(by_box("at")).select("src", "dst", "a", "b", "at")
+    y = as_(core, id="dst", at="to").join(apart.select("src", "dst").join(box("src"), "src"), "dst").filter(by_box("to")).select("src", "dst", "to")
+    late = cut_lineage(x.join(y, ["src", "dst"]).filter(close).select(F.col("a").alias("src"), F.col("b").alias("dst")).distinct())
+    if not late.isEmpty():
+        whole = connected(both(late), part.select(F.col("component").alias("id")).distinct())
+        part = part.join(as_(whole, id="component", component="_whole"), "component").select("id", F.col("_whole").alias("component"))
+    return boxes.select("id", "fine").join(part, "id").select(F.col("fine").alias("id"), "component")
 
 
 def assign_topics(
@@ -197,15 +203,17 @@ def assign_topics(
         "at", "n", _cell(F.col("at"), eps).alias("cell"), _cell(F.col("at"), eps / d**0.5).alias("fine")
     ))
     pairs = cut_lineage(_around(spots.select("cell").distinct(), d))
-    judged = cut_lineage(_core_spots(spots, pairs, eps, min_samples))
+    judged = cut_lineage(_core_spots(spots, pairs, eps, min_samples, d))
     core = judged.filter("core")
-    part = connected(_core_links(core, pairs, eps, d), core.select(F.col("fine").alias("id")).distinct())
+    part = cut_lineage(_core_parts(core, pairs, eps, d))
     inner = core.join(part.withColumnRenamed("id", "fine"), "fine").select("at", "n", "component", F.lit(1.0).alias("probability"))
-    edge = judged.filter("not core").select("at", "n", "cell").join(pairs, "cell").join(
-        core.select(F.col("cell").alias("next"), F.col("at").alias("to"), "fine"), "next"
-    )
-    nearest = F.min(F.struct(_squared(F.col("at"), F.col("to")).alias("d"), "to", "fine"))
-    border = edge.groupBy("at", "n").agg(nearest.alias("w")).filter(F.col("w.d") <= eps * eps).select(
+    edge = judged.filter("not core").select("at", "n", "cell").join(pairs, "cell").drop("cell")
+    gap = _squared(F.col("at"), F.col("to"), d)
+    around = lambda rows: _dealt(core.select(F.col("cell").alias("next"), F.col("at").alias("to"), "fine"), "next").join(
+        _dealt(rows, "next"), "next").withColumn("d", gap)
+    # The least distance first, as a number alone, then the place that has it: the pairs are never sorted.
+    least = cut_lineage(around(edge).filter(F.col("d") <= eps * eps).groupBy("at").agg(F.min("d").alias("least")))
+    border = around(edge.join(least, "at")).filter("d = least").groupBy("at", "n").agg(F.min(F.struct("d", "to", "fine")).alias("w")).select(
         "at", "n", F.col("w.fine").alias("id"), (eps / (eps + F.sqrt("w.d"))).alias("probability")
     ).join(part, "id").select("at", "n", "component", "probability")
     member = cut_lineage(inner.union(border))

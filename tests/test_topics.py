@@ -203,3 +203,43 @@ def test_model_encoder_and_whole_run(spark):
     quality = tp.cluster_quality(run.assignments).first()
     assert quality.papers == 120 and quality.topics == 2 and quality.noise_ratio < 0.2
     assert run.coordinates.filter(F.col("umap_x").isNull()).isEmpty()
+
+
+def test_pairs_of_places_are_compiled_and_dealt_over_all_tasks(spark):
+    """Few rows make many pairs: both sides of the join go to all tasks, and no distance is read off a lambda."""
+    rng = random.Random(3)
+    spots = spark.createDataFrame([([rng.random() for _ in range(5)], 1) for _ in range(60)], "at array<double>, n long").select(
+        "at", "n", tp._cell(F.col("at"), 0.3).alias("cell"), tp._cell(F.col("at"), 0.3 / 5**0.5).alias("fine"))
+    judged = tp._core_spots(spots, tp._around(spots.select("cell").distinct(), 5), 0.3, 3, 5)
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    assert "zip_with" not in plan and "aggregate(" not in plan
+    assert plan.count("REPARTITION_BY_NUM") >= 2
+    rows = judged.collect()
+    at = np.array([r.at for r in rows])
+    near = (((at[:, None] - at[None]) ** 2).sum(-1) <= 0.09).sum(1) >= 3
+    assert len(rows) == 60 and [r.core for r in rows] == [bool(n) for n in near]
+
+
+def test_crowded_and_joined_cells_equal_brute_force(spark):
+    """A hot cell, a bridge that only single points of two crowded cells make, and lone points, in three dimensions."""
+    rng = random.Random(8)
+    eps, rows = 0.1, []
+    for x in (0.0, 0.145, 0.5):
+        rows += [(x + rng.random() * 0.05, rng.random() * 0.05, rng.random() * 0.05) for _ in range(150)]
+    rows += [(0.0499, 0.0, 0.05), (0.1451, 0.0, 0.05)] + [(rng.uniform(-1, 2), rng.random(), rng.random()) for _ in range(60)]
+    points = [(f"p{i}", *r) for i, r in enumerate(rows)]
+    df = spark.createDataFrame(points, "paper_id string, x double, y double, z double")
+    got = {r.paper_id: r.topic_id for r in tp.assign_topics(df, eps, 5, 10, dims=("x", "y", "z")).collect()}
+    at = np.array(rows)
+    near = ((at[:, None] - at[None]) ** 2).sum(-1) <= eps * eps
+    core = near.sum(1) >= 5
+    label = np.arange(len(at))
+    for _ in range(len(at)):
+        fresh = np.array([label[near[i] & core].min() if core[i] else label[i] for i in range(len(at))])
+        if (fresh == label).all():
+            break
+        label = fresh
+    for i in np.flatnonzero(core):
+        for j in np.flatnonzero(core):
+            if (label == label[i]).sum() >= 10 and (label == label[j]).sum() >= 10:
+                assert (got[f"p{i}"] == got[f"p{j}"]) == (label[i] == label[j])
