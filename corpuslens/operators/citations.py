@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from corpuslens.functions import identifiers as ids
 
 
-def _first_per_request(df: DataFrame, limit: int | None, *order: str) -> DataFrame:
-    """The first `limit` rows of each request. Spark keeps at most that many per task before the
-    shuffle, so a request with very many edges stays cheap."""
+def _first_per_request(hits: DataFrame, limit: int | None) -> DataFrame:
+    """Each hit once, and the first `limit` of each request. Equal hits share a rank, so they are cut along with the others:
+    Spark keeps at most that many per task before the shuffle, and a request with very many edges stays cheap."""
     if limit is None:
-        return df
-    place = F.row_number().over(Window.partitionBy("request_id").orderBy(*order))
-    return df.withColumn("place", place).filter(F.col("place") <= limit).drop("place")
+        return hits.distinct()
+    place = F.dense_rank().over(Window.partitionBy("request_id").orderBy("paper_id"))
+    return hits.withColumn("place", place).filter(F.col("place") <= limit).drop("place").distinct()
 
 
 def _described(df: DataFrame, papers: DataFrame, scores: DataFrame) -> DataFrame:
@@ -32,24 +32,18 @@ def _citing(requested: DataFrame, edges: DataFrame, papers: DataFrame, limit: in
     forms = own.select("request_id", F.col("request_id").alias("cited_id")).unionAll(
         known.select("request_id", F.col("s2_paper_id").alias("cited_id"))
     ).distinct()
-    hits = edges.join(forms, "cited_id").select("request_id", F.col("citing_id").alias("paper_id")).distinct()
-    return _first_per_request(hits, limit, "paper_id")
+    hits = edges.join(forms, "cited_id").select("request_id", F.col("citing_id").alias("paper_id"))
+    return _first_per_request(hits, limit)
 
 
 def _cited(requested: DataFrame, edges: DataFrame, papers: DataFrame, limit: int | None) -> DataFrame:
     out = edges.join(
         requested.select(F.col("paper_id").alias("citing_id")).distinct(), "citing_id", "left_semi"
     ).select(F.col("citing_id").alias("request_id"), "cited_id")
-    by_key = out.join(papers.select(F.col("paper_id").alias("cited_id")), "cited_id", "left_semi").select(
-        "request_id", F.col("cited_id").alias("paper_id")
+    names = papers.select(F.col("paper_id").alias("cited_id"), "paper_id").unionAll(
+        papers.filter(ids.valid_key(F.col("s2_paper_id"))).select(F.col("s2_paper_id").alias("cited_id"), "paper_id")
     )
-    by_alternate = out.join(
-        papers.filter(ids.valid_key(F.col("s2_paper_id"))).select(
-            F.col("s2_paper_id").alias("cited_id"), "paper_id"
-        ),
-        "cited_id",
-    ).select("request_id", "paper_id")
-    return _first_per_request(by_key.unionAll(by_alternate).distinct(), limit, "paper_id")
+    return _first_per_request(out.join(names, "cited_id").select("request_id", "paper_id"), limit)
 
 
 def cited_by(
@@ -64,7 +58,8 @@ def references(
 ) -> DataFrame:
     """Corpus papers that a requested one cites, found by key or by alternate id.
 
-    Two equi-joins and a distinct union; a join with OR would compare every pair.
+    Papers are listed under both names, so the edges are read once and meet them in one equi-join; a join with OR would
+    compare every pair.
     """
     return _described(_cited(requested, edges, papers, limit), papers, scores)
 

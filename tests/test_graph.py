@@ -90,3 +90,29 @@ def test_no_papers(spark):
     scores = influence.influence_scores(papers)
     assert scores.isEmpty()
     assert influence.score_summary(scores).first().total == 0
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("limit", [None, 2])
+def test_neighbours_read_the_edges_once_a_direction(spark, tmp_path, limit):
+    edges, papers = frames(
+        spark, [("a", "b"), ("a", "sb"), ("a", "c"), ("c", "sb"), ("d", "b"), ("a", "d"), (None, "b"), ("a", None)],
+        [("a", None, "A", 1), ("b", "sb", "B", 2), ("c", "", "C", 3), ("d", "sd", "D", 4), ("b", "sb", "B", 2)],
+    )
+    edges.write.parquet(f"{tmp_path}/edges")
+    edges, scores = spark.read.parquet(f"{tmp_path}/edges"), influence.influence_scores(papers).distinct()
+    asked = papers.select("paper_id").distinct()
+    got = citations.neighbourhood(asked, edges, papers.distinct(), scores, limit=limit)
+    assert plan_of(got).count("FileScan") == 2
+    assert plan_of(citations.references(asked, edges, papers, scores, limit)).count("FileScan") == 1
+    found = {}
+    for r in got.collect():
+        found.setdefault((r.request_id, r.direction), []).append(r.paper_id)
+    first = slice(limit)
+    assert {k: sorted(v, key=str) for k, v in found.items()} == {
+        ("a", "references"): ["b", "c", "d"][first], ("c", "references"): ["b"], ("d", "references"): ["b"],
+        ("b", "cited_by"): sorted([None, "a", "c", "d"][first], key=str), ("c", "cited_by"): ["a"], ("d", "cited_by"): ["a"],
+    }
