@@ -8,7 +8,7 @@ import pytest
 
 from corpuslens.functions import fixed_values as fixed
 from corpuslens.operators import citations, influence
-from corpuslens.session import shared_dir
+from corpuslens.session import bucketed, shared_dir
 
 EDGES = "citing_id string, cited_id string, source string"
 
@@ -53,6 +53,33 @@ def test_pagerank_keeps_only_the_last_ranks(spark):
     assert got.count() == 2
 
 
+def test_pagerank_rounds_read_one_row_a_node(spark, monkeypatch):
+    """Ids may repeat or be null and links may leave the nodes; a busy source has further rows of bounded length."""
+    kept = []
+
+    def noted(df, *keys):
+        kept.append(df.select(*keys, "to").collect())
+        return bucketed(df, *keys)
+
+    monkeypatch.setattr(influence, "bucketed", noted)
+    nodes = spark.createDataFrame([("a",), ("b",), ("c",), (None,), ("a",)], "id string")
+    links = [("a", "b"), ("a", "c"), ("a", "x"), ("b", "a"), ("x", "a"), (None, "a"), ("c", None)]
+    frame = spark.createDataFrame(links, "src string, dst string")
+    rank = dict.fromkeys(["a", "b", "c", None], 1.0)
+    for _ in range(3):
+        idle = rank[None] / 4
+        rank = {
+            "a": 0.15 + 0.85 * (rank["b"] + idle), "b": 0.15 + 0.85 * (rank["a"] / 3 + idle),
+            "c": 0.15 + 0.85 * (rank["a"] / 3 + idle), None: 0.15 + 0.85 * idle,
+        }
+    for links_per_bucket, tables in ((5, 1), (1, 2)):
+        kept.clear()
+        got = influence.pagerank(nodes, frame, iterations=3, links_per_bucket=links_per_bucket).collect()
+        assert {r.paper_id: round(r.pagerank, 9) for r in got} == {k: round(v, 9) for k, v in rank.items()}
+        assert len(got) == len(kept[0]) == 4 and len(kept) == tables
+        assert sum(len(r.to or []) for rows in kept for r in rows) == 3
+
+
 def test_alternate_ids(spark):
     edges, papers = frames(
         spark, [("a", "b"), ("a", "s9"), ("c", "sa"), ("a", "sa"), ("x", "b"), ("a", "gone")],
