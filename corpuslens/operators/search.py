@@ -57,13 +57,14 @@ def field_stats(analysed: DataFrame) -> DataFrame:
 def vocabulary(analysed: DataFrame, stem: bool) -> DataFrame:
     """Distinct surface forms of text fields with their index term; each is stemmed once.
 
-    Stemming costs far more than moving a word, so the words go to all cores first.
+    Stemming costs far more than moving a word, so the words go to all cores first. The stems are written: a filter on the
+    term, which any join on it brings, would else move before `distinct` and stem every occurrence.
     """
     surfaces = analysed.filter(F.col("kind") == TEXT).select(F.explode("terms").alias("surface")).distinct()
     if not stem:
         return surfaces.withColumn("term", F.col("surface"))
     cores = surfaces.sparkSession.sparkContext.defaultParallelism
-    return surfaces.repartition(cores).withColumn("term", porter_stem(F.col("surface")))
+    return cut_lineage(surfaces.repartition(cores).withColumn("term", porter_stem(F.col("surface"))))
 
 
 def query_terms(queries: DataFrame, stem: bool) -> DataFrame:

@@ -247,3 +247,17 @@ def test_index_bounds_are_what_a_document_gains(spark, tmp_path, monkeypatch):
     hits = search.search_index(spark, str(tmp_path / "i"), queries, stem=False).collect()
     assert {h.paper_id for h in hits} == {"a", "b", "c"}
     assert len(seen["rows"]) == 2 and all(r.top == r.most and r.df == r.seen for r in seen["rows"])
+
+
+def test_each_word_is_stemmed_once(spark):
+    """No join or filter on the term moves the stemmer to the occurrences."""
+    docs = spark.createDataFrame(
+        [("a", "Running runs relational", None), ("b", "runs runs", "ponies"), ("c", None, "")], "paper_id string, title string, abstract string"
+    )
+    analysed = search.analyse(docs, "paper_id", ["title", "abstract"])
+    words = search.vocabulary(analysed, True)
+    asked = spark.createDataFrame([("run",), ("poni",), ("none",), (None,)], "term string")
+    met = words.join(asked, "term")
+    assert "translate(" not in met._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.surface, r.term) for r in met.collect()) == [("ponies", "poni"), ("running", "run"), ("runs", "run")]
+    assert sorted(r.surface for r in words.collect()) == ["ponies", "relational", "running", "runs"]
