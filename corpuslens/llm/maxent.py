@@ -4,9 +4,12 @@ P(word | text before) = P(class | features) * P(word | class, features). Frequen
 words each, and both factors see the words before; all others belong to a class by their ending, in which
 their probability is their smoothed share of the class. Every distribution sums to one, an unknown word included.
 
-The features of a place are the word before (n-gram), the word before that (skip) and a hash of both, with words cut to a few
-hundred ids. A table of counts by feature pair and class is so all that the gradient needs: it is summed over
-every word of the learning texts, and its size doesn't grow with them.
+The features of a place are the word before (n-gram), the word before that (skip) and both. Gradient rounds fit a small model
+with words cut to a few hundred ids; from it the features of whole words, hashed one by one, lead on: the word before that and
+both act on the class, the word before on the word in its class. There is one feature for each hashed context and outcome that the
+learning texts hold, rare words included, and their number grows with the texts. Each set maximises its likelihood less
+`pull` times the relative entropy from the model before it, which has a closed form: a feature seen n times among N, of an
+outcome that had the probability q, gets the weight log(1 + n / (pull * q)), and the context's sum is 1 + N / pull.
 """
 
 from __future__ import annotations
@@ -14,11 +17,15 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
+from hashlib import blake2b
+from typing import NamedTuple
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslens.llm.common import fold, table
@@ -32,6 +39,10 @@ FIRST, SECOND = 256, 64
 PAIRS = 1 << 13
 #: Words whose counts travel with the code; all others meet their counts in a join.
 KNOWN = 1 << 16
+#: How strongly the features of a whole word hold to the model before them: skip, both, n-gram.
+PULL_SKIP, PULL_BOTH, PULL_WORD = 20.0, 2.0, 10.0
+#: Places of the texts whose features travel together, and places of all learning texts for each group that they meet in.
+CHUNK, GROUP = 1 << 20, 1 << 20
 #: Blocks of the two tables of counts.
 PARTS = {"c": 64, "m": 16}
 #: Stands for the end of a text; no word holds white space.
@@ -43,6 +54,17 @@ def ending(word: bytes) -> int:
     return crc32(word[-3:]) % TAIL
 
 
+def digest(word: bytes) -> int:
+    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+
+
+def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """64 bits of two hashes, in this order."""
+    x = a * np.uint64(0x9E3779B97F4A7C15) + (b + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
 def word_blocks(text: str | None, size: int = 1 << 22) -> Iterator[list[bytes]]:
     """Lower-cased words of a text in blocks of bounded size, the end mark last."""
     data = (text or "").encode("utf-8", "surrogatepass").lower()
@@ -104,6 +126,11 @@ class Vocabulary:
         self.first = np.where(slot < min(n, FIRST - TAIL - 1), 1 + slot, FIRST - TAIL + ends)
         self.second = np.where(slot < min(n, SECOND - TAIL - 1), 1 + slot, SECOND - TAIL + ends)
         self.log_count = np.append(np.log10(np.array(counts, np.float64) + 0.1), np.zeros(TAIL))
+        self.words = words
+
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        return np.array([digest(w) for w in self.words] + [0] * TAIL, np.uint64)
 
     def read(self, text: str | None) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
         """Slots and contexts (first * SECOND + second) block by block, with the words themselves."""
@@ -119,6 +146,17 @@ class Vocabulary:
             yield slots, context, words
 
 
+class Model(NamedTuple):
+    """The arrays of `train`, and the learning texts, whose whole words are counted where texts are scored."""
+
+    tables: Broadcast
+    learning: DataFrame
+
+    @property
+    def value(self):
+        return self.tables.value
+
+
 def context_counts(documents: DataFrame, vocabulary) -> DataFrame:
     """(kind, block, sums): counts over all texts of (context, class), kind c, and of (word before, head word), kind m, in
     80 blocks of fixed size. Tasks send blocks of their tables, which are summed in two steps, so that no task meets
@@ -236,8 +274,8 @@ def known_words(counts: DataFrame) -> DataFrame:
     return counts.filter((step >= F.lit(float(least))) | (F.col("word") == F.lit(END))).orderBy(F.desc("c"), "word")
 
 
-def train(documents: DataFrame, counts: DataFrame, rounds: int = 12):
-    """The model as arrays: known words and counts, log10 P(class | context), log10 P(head word | class, word before), and
+def train(documents: DataFrame, counts: DataFrame, rounds: int = 12) -> Model:
+    """The learning texts and the model with cut words as arrays: known words and counts, log10 P(class | context), log10 P(head word | class, word before), and
     log10 of the smoothed size of each class by ending. `counts` are the word counts of `documents`."""
     spark = documents.sparkSession
     known = {bytes(r["word"]): r["c"] for r in known_words(counts).collect()}  # KNOWN rows and the end mark at most
@@ -271,9 +309,9 @@ def train(documents: DataFrame, counts: DataFrame, rounds: int = 12):
     ).collect()}
     size = np.array([(by_end[k]["n"] + 0.1 * (by_end[k]["v"] + 1)) if k in by_end else 0.1 for k in range(TAIL)])
     ten = math.log(10)
-    return spark.sparkContext.broadcast((
+    return Model(spark.sparkContext.broadcast((
         vocabulary.value, (by_class / ten).astype(np.float32), (by_member.reshape(FIRST, -1) / ten).astype(np.float32), np.log10(size),
-    ))
+    )), documents.select("text"))
 
 
 def _log_sum(x: np.ndarray) -> np.ndarray:
@@ -281,42 +319,193 @@ def _log_sum(x: np.ndarray) -> np.ndarray:
         return np.log(np.exp(x).sum(axis=-1, keepdims=True))
 
 
-def score(documents: DataFrame, model, counts: DataFrame) -> DataFrame:
+KINDS = ("both", "word", "rare")
+
+
+def places(v: Vocabulary, text: str | None) -> Iterator[tuple[np.ndarray, ...]]:
+    """Slots, contexts, and hashes of the words, of the words before and of the words before that, block by block."""
+    before = np.zeros(2, np.uint64)
+    for slots, context, words in v.read(text):
+        hashes, far = v.hashes[slots], np.nonzero(slots >= v.known)[0]
+        hashes[far] = [digest(words[i]) for i in far.tolist()]
+        before = np.concatenate((before, hashes))
+        yield slots, context, hashes, before[1:-1], before[:-2]
+        before = before[-2:]
+
+
+def feature_keys(kind: str, v: Vocabulary, tables, slots, context, hashes, first, second) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of 64 bits of the features of places, what the cut model says there, and the places that have any.
+
+    both: word before that, word before, class; the lowest bit of the first part tells that the word before that has features of
+    its own in the cut model, and that part then holds both words. The context is passed on.
+    word: word before and class, then the known word, or 0 for a rarer one. The probability of the word in its class is passed on.
+    rare: a word that isn't known, then the word before. Its ending is passed on.
+    """
+    _, _, by_member, size = tables
+    u, class_, none = np.uint64, v.class_[slots], np.uint64(0)
+    if kind == "both":
+        both, own = mixed(first, second), context % SECOND < SECOND - TAIL
+        part = np.where(own, both, mixed(second, none)) >> u(31) << u(31) | own.astype(np.uint64) << u(30)
+        keys = part | (both & u((1 << 24) - 1)) << u(6) | class_.astype(np.uint64)
+        return keys, context.astype(np.uint16), np.arange(len(slots))
+    if kind == "word":
+        tail = v.log_count[slots] - size[np.maximum(class_ - HEAD, 0)]
+        member = np.where(v.head[slots], by_member[context // SECOND, v.place[slots]], tail)
+        known = np.where(slots >= v.known, 0, slots + 1).astype(np.uint64)
+        return mixed(first, class_.astype(np.uint64)) >> u(18) << u(18) | known, np.power(10.0, member).astype(np.float32), np.arange(len(slots))
+    far = np.nonzero(slots >= v.known)[0]
+    keys = mixed(hashes[far], none) >> u(28) << u(28) | mixed(first[far], none) >> u(36)
+    return keys, (class_[far] - HEAD).astype(np.uint8), far
+
+
+def pack(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences, byte by byte, whose upper bytes are mostly zero and compress."""
+    return np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).ravel().cumsum(dtype=np.uint64)
+
+
+def terms(kind: str, keys: np.ndarray, n: np.ndarray, given: np.ndarray, tables) -> np.ndarray:
+    """What each key adds to the log10 probability of a text; `n` is how often the learning texts hold it. `keys` are all that
+    begin alike, in order, so that sums over them are counts of contexts."""
+    _, by_class, _, size = tables
+    u = np.uint64
+
+    def within(context: np.ndarray) -> np.ndarray:
+        at = np.unique(context, return_inverse=True)[1]
+        return np.bincount(at, n, len(context))[at]
+
+    if kind == "both":
+        class_ = keys & u(63)
+        q = np.power(10.0, by_class[given, class_].astype(np.float64))
+        skip = (within(keys >> u(30) << u(6) | class_) + PULL_SKIP * q) / (within(keys >> u(30)) + PULL_SKIP)
+        q = np.where(keys >> u(30) & u(1) == 1, q, skip)
+        return np.log10((n + PULL_BOTH * q) / (within(keys >> u(6)) + PULL_BOTH))
+    if kind == "word":
+        known = (keys & u((1 << 18) - 1)) > 0
+        return np.log10(np.where(known, n + PULL_WORD * given.astype(np.float64), 1)) - np.log10(within(keys >> u(18)) + PULL_WORD)
+    return np.log10(n + PULL_WORD * (within(keys >> u(28)) + 0.1) / np.power(10.0, size[given]))
+
+
+GIVEN = {"both": np.uint16, "word": np.float32, "rare": np.uint8}
+
+
+def feature_sums(texts: DataFrame, tables: Broadcast, kinds: tuple[str, ...], groups: int) -> DataFrame:
+    """(_key, sum): what the features of these kinds add to a text, from texts with _key, text, _learns and _wanted.
+
+    Tasks sort the features of a chunk of texts, each once with how often it is learnt from and the texts that want it, and deal
+    them out by ranges of keys. All that share a context meet in one group, which counts them and answers each text by a sum.
+    """
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        v, edges = Vocabulary(*tables.value[0]), np.array([(g << 64) // groups for g in range(1, groups)], np.uint64)
+        ids: list[int] = []
+        held: list[tuple[np.ndarray, ...]] = []
+        flags: list[tuple[int, int, bool, bool]] = []
+
+        def flush() -> pd.DataFrame:
+            out, of = [], np.array(ids, np.int64)
+            seen = [np.concatenate(x) for x in zip(*held, strict=True)]
+            number, lengths, learning, wants = (np.array(x) for x in zip(*flags, strict=True)) if flags else [np.zeros(0, int)] * 4
+            for kind in kinds if held else ():
+                keys, given, at = feature_keys(kind, v, tables.value, *seen)
+                text, learns, wanted = (np.repeat(x, lengths)[at] for x in (number, learning, wants))
+                order = np.argsort(keys, kind="stable")
+                keys, given, text, learns, wanted = (x[order] for x in (keys, given, text, learns, wanted))
+                # a context never spans two ranges: its keys agree in their upper 34 bits at least
+                at = [0, *np.searchsorted(keys, edges >> np.uint64(30) << np.uint64(30)).tolist(), len(keys)]
+                for g in range(groups):
+                    a, b = at[g], at[g + 1]
+                    if a == b:
+                        continue
+                    begins = np.nonzero(np.diff(keys[a:b], prepend=~keys[a : a + 1]))[0]
+                    asks = text[a:b][wanted[a:b]]
+                    some, rows = np.unique(asks, return_inverse=True)
+                    out.append((
+                        kind, g, pack(keys[a:b][begins]), given[a:b][begins].tobytes(),
+                        np.add.reduceat(learns[a:b], begins, dtype=np.int32).tobytes(),
+                        np.add.reduceat(wanted[a:b], begins, dtype=np.int32).tobytes(),
+                        of[some].tobytes(), rows.astype(np.uint16).tobytes(),
+                    ))
+            held.clear()
+            flags.clear()
+            ids.clear()
+            return pd.DataFrame(out, columns=["kind", "part", "keys", "given", "learnt", "asked", "ids", "rows"])
+
+        size = 0
+        for b in batches:
+            for key, text, learns, wanted in zip(b["_key"], b["text"], b["_learns"], b["_wanted"], strict=True):
+                for block in places(v, text):
+                    held.append(block)
+                    flags.append((len(ids), len(block[0]), learns, wanted))
+                    size += len(block[0])
+                    if size >= CHUNK:  # also within a text
+                        ids.append(key)
+                        yield flush()
+                        size = 0
+                ids.append(key)
+                if len(ids) >= 60_000:
+                    yield flush()
+                    size = 0
+        yield flush()
+
+    def answer(group: pd.DataFrame) -> pd.DataFrame:
+        kind = group["kind"].iloc[0]
+        keys = [unpack(x) for x in group["keys"]]
+        every, begin, at = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        learnt = np.bincount(at, np.frombuffer(b"".join(group["learnt"]), np.int32), len(every))
+        given = np.frombuffer(b"".join(group["given"]), GIVEN[kind])[begin]
+        gains, out, end = terms(kind, every, learnt, given, tables.value), [], 0
+        for k, asked, ids, rows in zip(keys, group["asked"], group["ids"], group["rows"], strict=True):
+            mine = np.repeat(gains[at[end : end + len(k)]], np.frombuffer(asked, np.int32))
+            end += len(k)
+            ids = np.frombuffer(ids, np.int64)
+            out.append(pd.DataFrame({"_key": ids, "sum": np.bincount(np.frombuffer(rows, np.uint16), mine, len(ids))}))
+        return pd.concat(out)
+
+    dealt = texts.select("_key", "text", "_learns", "_wanted").mapInPandas(deal, (
+        "kind string, part int, keys binary, given binary, learnt binary, asked binary, ids binary, rows binary"
+    ))
+    sums = dealt.groupBy("kind", "part").applyInPandas(answer, "_key long, sum double")
+    return sums.groupBy("_key").agg(F.sum("sum").alias("sum"))
+
+
+def score(documents: DataFrame, model: Model, counts: DataFrame, learns: Column | None = None) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
-    Known words are scored where the text is read. Every other word travels to its count, with its number in the
-    text, and the sums come back by row. A null text counts as empty: its end is its one token. Repeated rows and ids are
-    scored each; an empty table gives none; other columns are not carried.
+    Known words are counted where the text is read. Every other word travels to its count, with its number in the
+    text, and the sums come back by row. The features of whole words are counted beside those that are asked for; `learns` tells which of the
+    documents are the model's learning texts, which are then read once for both. A null text counts as empty: its
+    end is its one token. Repeated rows and ids are scored each; an empty table gives none; other columns are not carried.
     """
+    tables = model.tables
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, by_class, by_member, size = model.value
-        v = Vocabulary(*words)
+        v = Vocabulary(*tables.value[0])
         for b in batches:
             out = []
             for text in b["text"]:
                 n = known = 0
-                base = total = 0.0
+                base = 0.0
                 rest: Counter[bytes] = Counter()
-                for slots, context, tokens in v.read(text):
+                for slots, _, tokens in v.read(text):
                     n += len(slots)
                     far = slots >= v.known
                     known += len(slots) - int(far.sum())
-                    logs = v.log_count[slots]
-                    base += float(logs.sum())
-                    head = v.head[slots]
-                    total += float(by_class[context, v.class_[slots]].sum(dtype=np.float64))
-                    total += float(by_member[context[head] // SECOND, v.place[slots[head]]].sum(dtype=np.float64))
-                    total += float(logs[~head].sum() - size[v.class_[slots[~head]] - HEAD].sum())
+                    base += float(v.log_count[slots].sum())
                     rest.update(tokens[i] for i in np.nonzero(far)[0].tolist())
-                out.append((n, known, base, total, list(rest.keys()), list(rest.values())))
-            cols = pd.DataFrame(out, columns=["n_tokens", "known", "base", "total", "words", "times"])
-            yield pd.concat([b[["_row", "doc_id"]].reset_index(drop=True), cols], axis=1)
-
-    rows = documents.select(F.monotonically_increasing_id().alias("_row"), F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(read, (
-        "_row long, doc_id string, n_tokens long, known long, base double, total double, words array<binary>, times array<long>"
-    ))
-    rows = cut_lineage(rows)
+                out.append((n, known, base, list(rest.keys()), list(rest.values())))
+            cols = pd.DataFrame(out, columns=["n_tokens", "known", "base", "words", "times"])
+            yield pd.concat([b[["_row", "_key", "doc_id"]].reset_index(drop=True), cols], axis=1)
+
+    keyed = documents.withColumn("_key", F.xxhash64(F.col("doc_id").cast("string"), "text"))  # equal rows have equal scores
+    rows = cut_lineage(keyed.select(
+        F.monotonically_increasing_id().alias("_row"), "_key", F.col("doc_id").cast("string").alias("doc_id"), "text",
+    ).mapInPandas(read, (
+        "_row long, _key long, doc_id string, n_tokens long, known long, base double, words array<binary>, times array<long>"
+    )))
     far = rows.filter(F.size("words") > 0).select("_row", F.inline(F.arrays_zip("words", "times")))
     met = far.join(counts.withColumnRenamed("word", "words"), "words", "left").groupBy("_row").agg(
         F.sum(F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0)).alias("_known"),
@@ -324,11 +513,19 @@ def score(documents: DataFrame, model, counts: DataFrame) -> DataFrame:
     )
     size = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     unit = math.log10(size["n"] + 0.1 * (size["v"] + 1))
+    texts = keyed.select("_key", "text", (F.lit(False) if learns is None else learns).alias("_learns"), F.lit(True).alias("_wanted"))
+    if learns is None:
+        texts = texts.unionAll(model.learning.select(F.lit(0).cast("long"), "text", F.lit(True), F.lit(False)))
+    groups = max(16, size["n"] // GROUP)
+    sums = [cut_lineage(feature_sums(texts, tables, kinds, groups)) for kinds in (KINDS[:1], KINDS[1:])]
+    total = sums[0].unionAll(sums[1]).groupBy("_key").agg(F.sum("sum").alias("_sum"))
+    copies = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_copies"))
     logs = F.coalesce("_logs", F.lit(0.0))
-    return rows.drop("words", "times").join(met, "_row", "left").select(
+    scored = rows.drop("words", "times").join(met, "_row", "left").join(total, "_key", "left").join(copies, "_key", "left")
+    return scored.select(
         F.col("doc_id").cast("long").alias("doc_id"), "n_tokens", (F.col("known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
         F.lit(size["n"]).cast("long").alias("train_tokens"),
-        (F.col("base") + logs - F.col("n_tokens") * unit).alias("base_score"), (F.col("total") + logs).alias("score"),
+        (F.col("base") + logs - F.col("n_tokens") * unit).alias("base_score"), (F.col("_sum") / F.col("_copies")).alias("score"),
     )
 
 
@@ -338,5 +535,5 @@ def op10_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     learning = documents.filter(fold(F.col("doc_id"), FOLDS) != 0)
     counts = cut_lineage(word_counts(learning))
-    scored = score(documents, train(learning, counts), counts)
+    scored = score(documents, train(learning, counts), counts, fold(F.col("doc_id"), FOLDS) != 0)
     return scored.select("doc_id", (fold(F.col("doc_id"), FOLDS) == 0).alias("held_out"), *scored.columns[1:])

@@ -204,6 +204,59 @@ def _mass(model, counts) -> float:
     return total + float((tail * 10.0 ** by_class[0, maxent.HEAD :]).sum()) + float((10.0 ** by_class[0, empty_heads]).sum())
 
 
+def test_maxent_knows_whole_words_before(spark, monkeypatch):
+    """Words that aren't known and end alike lead to different words; sums by brute force, all features of a place included."""
+    texts = ["p1xyz q1xyz end", "p2xyz q2xyz one", "p1xyz q1xyz end two", "p2xyz q2xyz one end", None] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ask = ["p1xyz q1xyz end", "p2xyz q2xyz end", "p1xyz q1xyz one", "p1xyz q1xyz end", "new words here", None, ""]
+    asked = spark.createDataFrame([(7, t) for t in ask], "doc_id long, text string")
+    counts = maxent.word_counts(docs)
+    for known in (maxent.KNOWN, 1):
+        monkeypatch.setattr(maxent, "KNOWN", known)
+        model = maxent.train(docs, counts)
+        want = sorted(_by_hand(model.value, texts, t) for t in ask)
+        for chunk in (maxent.CHUNK, 2):  # also chunks within a text
+            monkeypatch.setattr(maxent, "CHUNK", chunk)
+            got = sorted(r.score for r in maxent.score(asked, model, counts).collect())
+            assert np.allclose(got, want, rtol=1e-5)
+        monkeypatch.undo()
+    good, bad = (_by_hand(model.value, texts, t) for t in ask[:2])
+    assert good > bad + 0.3
+    both = docs.unionAll(asked.withColumn("doc_id", F.col("doc_id") + 100))
+    once = maxent.score(both, model, counts, F.col("doc_id") < 100).filter("doc_id > 100").collect()
+    assert np.allclose(sorted(r.score for r in once), want, rtol=1e-5)
+
+
+def _by_hand(tables, texts, text) -> float:
+    (words, _), by_class, by_member, size = tables
+    v = maxent.Vocabulary(*tables[0])
+    skip, both, word, count = Counter(), Counter(), Counter(), Counter()
+
+    def read(t):
+        for slots, context, tokens in v.read(t):
+            yield from zip([None, None, *tokens], [None, *tokens], tokens, slots.tolist(), context.tolist())
+
+    for t in texts:
+        for two, one, w, s, _ in read(t):
+            c = v.class_[s]
+            count[w] += 1
+            for n, context in ((skip, two), (both, (two, one)), (word, (one, c))):
+                n[context] += 1
+            skip[two, c, "class"] += 1
+            both[two, one, c] += 1
+            word[one, c, w] += 1
+    total = 0.0
+    for two, one, w, s, context in read(text):
+        c = v.class_[s]
+        q = 10.0 ** by_class[context, c]
+        if context % maxent.SECOND >= maxent.SECOND - maxent.TAIL:
+            q = (skip[two, c, "class"] + maxent.PULL_SKIP * q) / (skip[two] + maxent.PULL_SKIP)
+        q = (both[two, one, c] + maxent.PULL_BOTH * q) / (both[two, one] + maxent.PULL_BOTH)
+        m = 10.0 ** by_member[context // maxent.SECOND, v.place[s]] if v.head[s] else (count[w] + 0.1) / 10.0 ** size[c - maxent.HEAD]
+        total += math.log10(q * (word[one, c, w] + maxent.PULL_WORD * m) / (word[one, c] + maxent.PULL_WORD))
+    return total
+
+
 def test_word_blocks_cover_the_text():
     text = "Some  words\tin\nblocks " * 50
     got = [w for block in maxent.word_blocks(text, 40) for w in block]
