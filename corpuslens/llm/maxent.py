@@ -42,7 +42,7 @@ KNOWN = 1 << 16
 #: How strongly the features of a whole word hold to the model before them: skip, both, n-gram.
 PULL_SKIP, PULL_BOTH, PULL_WORD = 20.0, 2.0, 10.0
 #: Places of the texts whose features travel together, and places of all learning texts for each group that they meet in.
-CHUNK, GROUP = 1 << 20, 1 << 20
+CHUNK, GROUP = 1 << 19, 1 << 20
 #: Blocks of the two tables of counts.
 PARTS = {"c": 64, "m": 16}
 #: Stands for the end of a text; no word holds white space.
