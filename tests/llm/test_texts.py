@@ -14,6 +14,7 @@ import regex
 import tiktoken
 from pyspark.sql import functions as F
 
+from corpuslens import session
 from corpuslens.llm import binary_output, byte_bpe, html_text, maxent, nearest, quality
 
 RANKS = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -227,6 +228,75 @@ def test_maxent_knows_whole_words_before(spark, monkeypatch):
     assert np.allclose(sorted(r.score for r in once), want, rtol=1e-5)
 
 
+def test_maxent_encodes_texts_across_blocks(spark, monkeypatch):
+    """Chunks and blocks that end within a text hand on the two words before."""
+    texts = {0: "one two three four five six seven", 1: "two", 2: None, 3: "a b c rare " * 9, 4: "", 5: "x" * 30 + " a b"}
+    whole, known = maxent.word_blocks, ([b"two", b"a", b"b", maxent.END], [4, 3, 2, 1])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1)
+    v = maxent.Vocabulary(*known)
+    for block, chunk, most in ((1 << 22, 1 << 19, 1 << 14), (8, 5, 1 << 14), (3, 1, 2), (20, 1 << 19, 3)):
+        monkeypatch.setattr(maxent, "word_blocks", lambda text, size=block: whole(text, size))
+        monkeypatch.setattr(maxent, "CHUNK", chunk)
+        monkeypatch.setattr(maxent, "SEGMENTS", most)
+        encoded = maxent.encode(docs, spark.sparkContext.broadcast(known), F.col("doc_id") > 1).collect()
+        monkeypatch.undo()
+        row = {int(r.doc_id): r for r in encoded if r.chunk < 0}
+        got = {r._row: [] for r in row.values()}
+        chunks = sorted((r for r in encoded if r.chunk >= 0), key=lambda r: r.chunk)
+        assert len({r.chunk for r in chunks}) == len(chunks)
+        for r in chunks:
+            p = maxent.Places(v, r)
+            of = np.repeat(np.frombuffer(r.ids, np.int64), p.lengths).tolist()
+            flags = np.repeat(p.flags, p.lengths).tolist()
+            for i, *place in zip(of, flags, p.slots.tolist(), p.context.tolist(), *(x.tolist() for x in p.hashes), strict=True):
+                got[i].append(tuple(place))
+        for d, text in texts.items():
+            (slots, context, words), = v.read(text)
+            h = [0, 0, *maxent.digests(words).tolist()]
+            flags = [maxent.WANTED + maxent.LEARNS * (d > 1)] * len(words)
+            assert got[row[d]._row] == list(zip(flags, slots.tolist(), context.tolist(), h[2:], h[1:], h, strict=False))
+            assert (row[d].n_tokens, row[d].known) == (len(words), sum(w in known[0] for w in words))
+            rest = Counter(w for w in words if w not in known[0])
+            assert dict(zip(map(bytes, row[d].words), row[d].times, strict=True)) == rest
+
+
+def test_packed_numbers():
+    rng = np.random.default_rng(3)
+    for dtype in (np.uint8, np.uint16, np.uint64):
+        for n in (1, 2, 1000):
+            x = rng.integers(0, np.iinfo(dtype).max, n, dtype, endpoint=True)
+            back = maxent.unpack(maxent.pack(x), dtype)
+            assert back.dtype == dtype and back.tolist() == x.tolist()
+
+
+def test_shuffle_files_go_with_the_job(spark):
+    """Each job of the model frees the disk that its shuffles took before the next begins."""
+
+    def files() -> set[str]:
+        manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        found = manager.getAllFiles()
+        return {n for n in (found.apply(i).getName() for i in range(found.size())) if n.startswith("shuffle_") and n.endswith(".data")}
+
+    df = spark.range(50_000).groupBy((F.col("id") % 9973).alias("k")).agg(F.sum("id").alias("s"))
+    before, set_to = files(), spark.conf.get(session.CLEANUP_KEY)
+    freed = session.cut_lineage(df, free=True)
+    assert not files() - before and spark.conf.get(session.CLEANUP_KEY) == set_to
+    assert freed.count() == 9973
+    kept: list[int] = []
+    cut = maxent.cut_lineage
+
+    def watched(df, **options):
+        before = files()
+        out = cut(df, **options)
+        kept.append(len(files() - before))
+        return out
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(maxent, "cut_lineage", watched)
+        assert maxent.op10_maxent_scores(spark, "/root/testdata/sf0.001").count() == 100
+    assert len(kept) >= 6 and not any(kept)
+
+
 def _by_hand(tables, texts, text) -> float:
     (words, _), by_class, by_member, size = tables
     v = maxent.Vocabulary(*tables[0])
