@@ -527,8 +527,8 @@ def terms(kind: str, keys: np.ndarray, n: np.ndarray, given: np.ndarray, tables:
         known = slot >= 0
         slot = np.maximum(slot, 0)
         tail = v.log_count[slot] - size[np.maximum(v.class_[slot] - HEAD, 0)]
-        q = np.power(10.0, np.where(v.head[slot], by_member[given, v.place[slot]], tail))
-        return np.log10(np.where(known, n + PULL_WORD * q, 1)) - np.log10(within(keys >> u(18)) + PULL_WORD)
+        q = np.power(10.0, np.where(v.head[slot], by_member[given, v.place[slot]], tail)).astype(np.float32)
+        return np.log10(np.where(known, n + PULL_WORD * q.astype(np.float64), 1)) - np.log10(within(keys >> u(18)) + PULL_WORD)
     return np.log10(n + PULL_WORD * (within(keys >> u(28)) + 0.1) / np.power(10.0, size[given]))
 
 
@@ -602,10 +602,10 @@ def feature_sums(texts: DataFrame, tables: Broadcast, kind: str, groups: int) ->
             where = (piece * most + (where & (most - 1)))[asked]
             if (end - begin) * most <= 8 * len(where):
                 places = np.nonzero(np.bincount(where))[0]
-                sums = np.bincount(where, mine[asked])[places].astype(np.float32)
+                sums = np.bincount(where, mine[asked])[places]
             else:
                 places, where = np.unique(where, return_inverse=True)
-                sums = np.bincount(where, mine[asked], len(places)).astype(np.float32)
+                sums = np.bincount(where, mine[asked], len(places))
             at_piece = np.searchsorted(places, np.arange(end - begin + 1) * most).tolist()
             places = (places & (most - 1)).astype(np.uint16)
             for i, (x, y) in enumerate(zip(at_piece, at_piece[1:], strict=False)):
@@ -619,7 +619,7 @@ def feature_sums(texts: DataFrame, tables: Broadcast, kind: str, groups: int) ->
         out = np.zeros(len(ids))
         for places, sums in zip(group["places"], group["sums"], strict=True):
             if places is not None:
-                out[np.frombuffer(places, np.uint16)] += np.frombuffer(sums, np.float32)
+                out[np.frombuffer(places, np.uint16)] += np.frombuffer(sums, np.float64)
         return pd.DataFrame({"_row": ids, "sum": out})
 
     dealt = texts.mapInPandas(deal, "part int, chunk long, keys binary, given binary, new binary, rows binary")
