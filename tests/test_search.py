@@ -1,16 +1,20 @@
 from __future__ import annotations
 
 import math
+import os
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from corpuslens import session
 from corpuslens.functions import fixed_values as fixed
 from corpuslens.functions.stem import porter_stem
-from corpuslens.operators import search
+from corpuslens.operators import blocks, search
 from porter import porter
 
 WORDS = (
@@ -219,6 +223,54 @@ def test_the_index_opens_only_the_buckets_of_asked_terms(spark, tmp_path):
     assert plan.count("FileScan parquet") == 1 and re.search(r"PartitionFilters: \[[^]]*bucket", plan)
 
 
+def test_the_index_leaves_nothing_else_and_moves_no_occurrence(spark, tmp_path):
+    """Steps of the build are removed with their shuffle files, and what it shuffles does not grow with how often words occur."""
+    shared = Path(session.shared_dir(spark)) / "corpuslens"
+    docs, _ = zipf_corpus(spark, 50, 2)
+    docs = docs.withColumn("ingest_year_month", F.lit("2024-01"))
+    before = set(os.listdir(shared)) if shared.exists() else set()
+    search.build_index(docs, str(tmp_path / "i"))
+    assert set(os.listdir(shared)) == before
+    rows = spark.read.schema(search.STORED["postings"]).parquet(str(tmp_path / "i" / "postings")).filter("term is not null")
+    assert rows.count() == rows.select("field", "term").distinct().count() < rows.agg(F.sum("df")).first()[0] / 2
+
+
+def test_repeated_and_null_ids_and_empty_texts_are_indexed_as_they_are_searched(spark, tmp_path):
+    rows = [
+        ("a", "Running graphs", "the graph runs and runs", "m1"), ("a", "Running graphs", "the graph runs and runs", "m1"),
+        ("a", "graph", "data", "m1"), ("a", "graph run", "data graph", "m2"), ("b", None, "graphs " * 50 + "data", "m1"),
+        ("b", "", None, "m2"), ("c", "the", "of", "m1"), ("d", "😀 é data", "graphed", None),
+    ]
+    df = spark.createDataFrame(rows, "paper_id string, title string, abstract string, ingest_year_month string")
+    query = spark.createDataFrame([("q", "graph running data"), ("r", "é graphs"), ("s", "of the")], "query_id string, text string")
+    for stem in (True, False):
+        # A plain search adds up all months of an id, so each month has ids of its own here.
+        named = df.withColumn("paper_id", F.concat_ws("-", "paper_id", "ingest_year_month"))
+        search.build_index(named, str(tmp_path / f"i{stem}"), stem=stem)
+        found = search.search_index(spark, str(tmp_path / f"i{stem}"), query, None, stem=stem).collect()
+        wanted = search.search(named, query, k=None, stem=stem).collect()
+        as_rows = lambda hits: sorted((h.query_id, h.paper_id, round(h.score, 9)) for h in hits)
+        assert as_rows(found) == as_rows(wanted) and len(found) > 4
+    nobody = spark.createDataFrame([(None, "graph", "data", "m1"), (None, "graph", "data", "m1"), ("a", "graph", "x", "m1")], df.schema)
+    search.build_index(nobody, str(tmp_path / "n"))
+    assert [h.paper_id for h in search.search_index(spark, str(tmp_path / "n"), search.one_query(spark, "graph"), None).collect()] == ["a"]
+    known = spark.read.schema(search.STORED["terms"]).parquet(str(tmp_path / "n" / "terms")).filter("term = 'graph'").collect()
+    assert [(r.df, r.most_tf, r.least_len) for r in known] == [(2, 2, 1)]  # both without an id are one document
+    totals = spark.read.schema(search.STORED["totals"]).parquet(str(tmp_path / "n" / "totals"))
+    assert sorted((r.field, r.n_docs, r.total_len) for r in totals.collect()) == [("abstract", 3, 3), ("title", 3, 3)]
+    search.build_index(nobody.filter("false"), str(tmp_path / "e"))
+    assert search.search_index(spark, str(tmp_path / "e"), search.one_query(spark, "graph"), None).collect() == []
+
+
+def test_chunks_are_cut_by_places_and_lose_no_row(monkeypatch):
+    monkeypatch.setattr(blocks, "PLACES", 10)
+    sizes = [3, 9, 0, 25, 1, 1, 1, 10, 2]
+    rows = [{"terms": ["w"] * n, "i": i} for i, n in enumerate(sizes)]
+    batches = [pa.RecordBatch.from_pylist(rows[a:b]) for a, b in ((0, 4), (4, 4), (4, 9)) if a < b]
+    cut = [t["i"].to_pylist() for t in blocks._gathered(iter(batches))]
+    assert cut == [[0, 1], [2, 3], [4, 5, 6, 7], [8]]
+
+
 def test_a_month_that_loses_its_terms_loses_its_postings(spark, tmp_path):
     path = str(tmp_path / "index")
     df = papers(spark)
