@@ -86,7 +86,9 @@ def stream_backfill(v):
 
 def _refreshed(v, stem: bool):
     table, index = v.scratch("papers"), v.scratch("index")
-    v.texts.withColumn("ingest_year_month", F.coalesce(F.date_format("submitted_date", "yyyy"), F.lit("unknown"))).write.parquet(table)
+    v.texts.withColumn("ingest_year_month", F.coalesce(F.date_format("submitted_date", "yyyy"), F.lit("unknown"))).write.option(
+        "compression", "zstd"
+    ).parquet(table)
 
     def papers():
         return v.spark.read.parquet(table)
