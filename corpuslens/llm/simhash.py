@@ -7,7 +7,7 @@ bits. What is still too large is a dense cluster, and is linked through shared f
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -239,14 +239,34 @@ def near_duplicates(documents: DataFrame, distance: int = 4, leaf_rows: int = 40
     return prints.join(named, "fp").select("doc_id", "text_key", "fp", "component_id", "root")
 
 
-def keep_one(documents: DataFrame) -> DataFrame:
-    """One row of each group of near copies (5-word similarity of 0.8 or more), whole: that with the smallest id (a null
-    last), then the smallest text key. The four words and four bits of `near_duplicates` are op1's alone.
+def all_copies(documents: DataFrame) -> DataFrame:
+    """(doc_id, text_key, root) of every row: rows share a root if links of `near_copies` (5-word similarity of 0.8 or more) and
+    of `near_duplicates` (fingerprints of four words within four bits), in any order, join their texts.
+
+    Neither finds what the other does: most pairs of a similarity near 0.8 lie more than four bits apart, and copies with
+    many small edits keep their fingerprint below that similarity. Odd rows as in these two.
+    """
+    alike = cut_lineage(near_copies(documents))
+    links = None
+    for groups in (alike, near_duplicates(documents)):
+        texts = cut_lineage(groups.select("text_key", "root").distinct())
+        first = texts.groupBy("root").agg(F.min("text_key").alias("b"))
+        found = texts.join(first, "root").select(F.col("text_key").alias("a"), "b").filter("a != b")
+        links = found if links is None else links.union(found)
+    roots = connected(links).withColumnRenamed("node", "text_key")
+    return alike.select("doc_id", "text_key").join(roots, "text_key", "left").select(
+        "doc_id", "text_key", F.coalesce("root", "text_key").alias("root")
+    )
+
+
+def keep_one(documents: DataFrame, find: Callable[[DataFrame], DataFrame] = near_copies) -> DataFrame:
+    """One row of each group of near copies that `find` gives, by itself those of 5-word similarity, whole: that with the
+    smallest id (a null last), then the smallest text key.
 
     Null, empty and blank texts are copies of each other; repeated rows leave one; long texts are compared whole. Columns
     of any name stay as they are; an empty table gives none.
     """
-    groups = cut_lineage(near_copies(documents))
+    groups = cut_lineage(find(documents))
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_key"))
     chosen = groups.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("id"), F.col("k.text_key").alias("key"))
     keyed = documents.select(F.struct(*documents.columns).alias("row"), F.xxhash64("text").alias("key"), F.col("doc_id").alias("id"))

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import corpus_pipeline
 from corpuslens.llm import minhash, simhash
 
 
@@ -53,6 +54,28 @@ def test_chains_join_through_members_that_are_not_first(spark):
     assert [r.doc_id for r in simhash.keep_one(df).collect()] == [0]
 
 
+def bits_apart(a: str, b: str) -> int:
+    return ((simhash.fingerprint_of(a.encode()) ^ simhash.fingerprint_of(b.encode())) & ((1 << 64) - 1)).bit_count()
+
+
+def test_the_stage_joins_what_either_measure_links(spark):
+    """b is like a by its shingles only, c like b by its fingerprint only, d like nobody."""
+    rng = random.Random(5)
+    while True:
+        words = [f"w{rng.getrandbits(30)}" for _ in range(300)]
+        a, b = " ".join(words), edited(rng, words, 5)
+        c = next((x for x in (edited(rng, b.split(), 9) for _ in range(60)) if bits_apart(b, x) <= 4 < bits_apart(a, x)), None)
+        if c and bits_apart(a, b) > 4:
+            break
+    sets = [minhash.shingles_of(x) for x in (a, b, c)]
+    assert minhash.similarity(sets[0], sets[1]) >= 0.8 > max(minhash.similarity(sets[k], sets[2]) for k in (0, 1))
+    d = " ".join(f"v{rng.getrandbits(30)}" for _ in range(300))
+    rows = [(3, c), (2, b), (1, a), (4, d), (5, None), (None, ""), (None, d)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.drop_copies(spark, df, "").collect()
+    assert sorted((r.doc_id, r.text) for r in kept if r.text) == [(1, a), (4, d)] and [r.doc_id for r in kept if not r.text] == [5]
+
+
 def test_exact_similarity():
     a, b = "a b c d e f g h i j", "A b c d e f g h i k"
     want = len(windows(a) & windows(b)) / len(windows(a) | windows(b))
